@@ -15,14 +15,18 @@ DOWNLOAD_URL = r"https://mcusercontent.com/.+\.xlsx"
 
 
 def link_id(link: Column, hosts=LINK_HOSTS, path: str = LINK_PATH, param: str = "oppId") -> Column:
-    """Id after the last slash of a path-style link, else the id in the query string."""
+    """Id after the last slash of a path-style link, else the id in the query string.
+
+    ``hosts=None`` takes links to any host.
+    """
     host = F.try_parse_url(link, F.lit("HOST"))
     in_path = F.when(
         F.try_parse_url(link, F.lit("PATH")).rlike(path),
         strict_bigint(F.substring_index(link, "/", -1)),
     )
     in_query = strict_bigint(F.try_parse_url(link, F.lit("QUERY"), F.lit(param)))
-    return F.when(host.isin(*hosts), F.coalesce(in_path, in_query))
+    found = F.coalesce(in_path, in_query)
+    return found if hosts is None else F.when(host.isin(*hosts), found)
 
 
 def extract_one(text: Column, pattern: str = DOWNLOAD_URL) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grantflow import dims
 from grantflow.functions import numbers
-from grantflow.functions.dates import is_set, mmddyyyy
+from grantflow.functions.dates import is_set, iso_date, mmddyyyy
 from grantflow.functions.ulid import ZERO, is_ulid, ulid_time
 from grantflow.operators.lookup import code_to_struct, codes_to_structs, is_known
 
@@ -102,9 +102,10 @@ def malformed_fields(get: Getter) -> Column:
         bad = F.filter(F.coalesce(get(name), F.array()), is_bad)
         return F.transform(bad, lambda _: F.lit(name))
 
-    lists = [
-        each(name, lambda c, codes=codes: ~is_known(c, codes)) for name, codes in _CODE_LISTS
-    ]
+    def unknown(codes: dict[str, str]):
+        return lambda c: ~is_known(c, codes)
+
+    lists = [each(name, unknown(codes)) for name, codes in _CODE_LISTS]
     cfda = each("CFDANumbers", lambda c: ~F.coalesce(numbers.is_cfda(c), F.lit(False)))
     return F.concat(single, cfda, *lists)
 
@@ -121,24 +122,49 @@ def to_canonical(df: DataFrame, image: str | None = None, grant: str = "grant",
 
 def grant_json(grant: Column) -> Column:
     """JSON text of a document: empty lists and blanks are left out, structs are kept."""
-    drop_empty = lambda c: F.when(F.size(c) > 0, c)
-    named = lambda arr: drop_empty(F.transform(
-        arr, lambda e: F.struct(_text(e["name"]).alias("name"), _text(e["code"]).alias("code"))
-    ))
-    iso = lambda c: F.date_format(c, "yyyy-MM-dd")
-    opp, rev = grant["opportunity"], grant["revision"]
+    def listed(arr: Column) -> Column:
+        return F.when(F.size(arr) > 0, arr)
+
+    def named(arr: Column) -> Column:
+        return listed(F.transform(
+            arr, lambda e: F.struct(_text(e["name"]).alias("name"), _text(e["code"]).alias("code"))
+        ))
+
+    activity, opp, rev = grant["funding_activity"], grant["opportunity"], grant["revision"]
+    category, dates = opp["category"], opp["milestones"]
     stamp = F.date_format(rev["timestamp"], "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    shown = grant.withField("funding_instrument_types", named(grant["funding_instrument_types"]))
-    shown = shown.withField("eligible_applicants", named(grant["eligible_applicants"]))
-    shown = shown.withField("cfda_numbers", drop_empty(grant["cfda_numbers"]))
-    shown = shown.withField("funding_activity.categories", named(grant["funding_activity"]["categories"]))
-    shown = shown.withField("opportunity.category.name", _text(opp["category"]["name"]))
-    shown = shown.withField("opportunity.category.code", _text(opp["category"]["code"]))
-    shown = shown.withField("opportunity.milestones.post_date", iso(opp["milestones"]["post_date"]))
-    shown = shown.withField("opportunity.milestones.close.date", iso(opp["milestones"]["close"]["date"]))
-    shown = shown.withField("opportunity.milestones.archive_date", iso(opp["milestones"]["archive_date"]))
-    shown = shown.withField("opportunity.last_updated", iso(opp["last_updated"]))
-    shown = shown.withField(
-        "revision.timestamp", F.concat(F.regexp_replace(stamp, r"\.?0+\z", ""), F.lit("Z"))
-    )
-    return F.to_json(shown)
+    whole = ("additional_information", "agency", "award")
+    return F.to_json(F.struct(
+        named(grant["funding_instrument_types"]).alias("funding_instrument_types"),
+        grant["cost_sharing_or_matching_requirement"].alias("cost_sharing_or_matching_requirement"),
+        listed(grant["cfda_numbers"]).alias("cfda_numbers"),
+        grant["bill"].alias("bill"),
+        named(grant["eligible_applicants"]).alias("eligible_applicants"),
+        *[grant[name].alias(name) for name in whole],
+        F.struct(
+            named(activity["categories"]).alias("categories"),
+            activity["explanation"].alias("explanation"),
+        ).alias("funding_activity"),
+        grant["grantor"].alias("grantor"),
+        grant["metadata"].alias("metadata"),
+        F.struct(
+            *[opp[name].alias(name) for name in ("id", "number", "title", "description")],
+            F.struct(
+                _text(category["name"]).alias("name"), _text(category["code"]).alias("code"),
+                category["explanation"].alias("explanation"),
+            ).alias("category"),
+            F.struct(
+                iso_date(dates["post_date"]).alias("post_date"),
+                F.struct(
+                    iso_date(dates["close"]["date"]).alias("date"),
+                    dates["close"]["explanation"].alias("explanation"),
+                ).alias("close"),
+                iso_date(dates["archive_date"]).alias("archive_date"),
+            ).alias("milestones"),
+            iso_date(opp["last_updated"]).alias("last_updated"),
+        ).alias("opportunity"),
+        F.struct(
+            rev["id"].alias("id"),
+            F.concat(F.regexp_replace(stamp, r"\.?0{1,3}\z", ""), F.lit("Z")).alias("timestamp"),
+        ).alias("revision"),
+    ))

@@ -124,12 +124,12 @@ def _breaks(c: Column, facet: Facet) -> Column:
 
 def facet_errors(get, facets: list[Facet], list_fields=frozenset()) -> Column:
     """Names of fields outside their documented limits; blank text counts as absent."""
-    checks = []
-    for facet in facets:
+    def check(facet: Facet) -> Column:
         c = get(facet.field)
         if facet.field in list_fields:
-            bad = F.exists(F.coalesce(c, F.array()), lambda e, f=facet: _breaks(e, f))
+            bad = F.exists(F.coalesce(c, F.array()), lambda e: _breaks(e, facet))
         else:
             bad = is_set(c) & _breaks(c, facet)
-        checks.append(F.when(bad, facet.field))
-    return F.array_compact(F.array(*checks))
+        return F.when(bad, facet.field)
+
+    return F.array_compact(F.array(*[check(f) for f in facets]))
