@@ -110,14 +110,24 @@ def malformed_fields(get: Getter) -> Column:
     return F.concat(single, cfda, *lists)
 
 
-def to_canonical(df: DataFrame, image: str | None = None, grant: str = "grant",
-                 malformed: str = "malformed") -> DataFrame:
-    """Adds the document and the malformed list for the row, or for one image struct in it."""
-    get = (lambda n: F.col(image)[n]) if image else F.col
-    there = F.col(image).isNotNull() if image else F.lit(True)
-    return df.withColumn(grant, F.when(there, canonical_grant(get))).withColumn(
-        malformed, F.when(there, malformed_fields(get))
-    )
+def to_canonical(df: DataFrame, images: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Adds ``grant`` and ``malformed`` for the row itself.
+
+    ``images`` maps image struct columns to the names of their two results instead.
+    """
+    if images is None:
+        return df.withColumns(
+            {"grant": canonical_grant(F.col), "malformed": malformed_fields(F.col)}
+        )
+    results = {}
+    for image, (grant, malformed) in images.items():
+        def get(name: str, image: str = image) -> Column:
+            return F.col(image)[name]
+
+        there = F.col(image).isNotNull()
+        results[grant] = F.when(there, canonical_grant(get))
+        results[malformed] = F.when(there, malformed_fields(get))
+    return df.withColumns(results)
 
 
 def grant_json(grant: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grantflow.frames import settled
 from grantflow.operators.canonical import grant_json, to_canonical
 from grantflow.operators.diff import event_type, images_for
 from grantflow.operators.skew import lookup_join
@@ -21,24 +22,28 @@ def judge_changes(changes: DataFrame) -> DataFrame:
     """
     old, new = images_for(F.col("op"), F.col("old"), F.col("new"))
     out = changes.withColumn("old", old).withColumn("new", new)
-    out = to_canonical(out, "old", "previous", "malformed_old")
-    out = to_canonical(out, "new", "current", "malformed_new")
-    out = out.withColumn("errors_old", F.when(F.col("previous").isNotNull(), grant_errors(F.col("previous"))))
-    out = out.withColumn("errors_new", F.when(F.col("current").isNotNull(), grant_errors(F.col("current"))))
+    out = to_canonical(
+        out, {"old": ("previous", "malformed_old"), "new": ("current", "malformed_new")}
+    )
+    previous, current = F.col("previous"), F.col("current")
+    out = out.withColumns({
+        "errors_old": F.when(previous.isNotNull(), grant_errors(previous)),
+        "errors_new": F.when(current.isNotNull(), grant_errors(current)),
+    })
 
     def unbuildable(image: str) -> Column:
         if "unbuildable" not in changes.schema[image].dataType.fieldNames():
             return F.lit(False)
         return F.coalesce(F.col(f"{image}.unbuildable"), F.lit(False))
 
-    kind = event_type(F.col("current"), F.col("previous"))
+    kind = event_type(current, previous)
     reason = (
         F.when(kind.isNull(), "no_version")
         .when(unbuildable("new"), "unbuildable_new")
         .when(F.size("errors_new") > 0, "invalid_new")
         .when(unbuildable("old"), "unbuildable_old")
     )
-    return out.withColumn("type", kind).withColumn("reason", reason)
+    return out.withColumn("type", kind).withColumn("reason", settled(reason))
 
 
 def event_json(kind: Column, previous: Column, current: Column) -> Column:

@@ -26,7 +26,7 @@ def name_to_struct(name: Column, codes: dict[str, str]) -> Column:
 
 
 def is_known(code: Column, codes: dict[str, str]) -> Column:
-    return F.coalesce(code.isin(*codes), F.lit(False))
+    return F.try_element_at(map_column(codes), code).isNotNull()
 
 
 def agrees(entry: Column, codes: dict[str, str]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grantflow.frames import settled
 from grantflow.functions import numbers
 from grantflow.functions.dates import due_date
 from grantflow.functions.links import link_id
@@ -58,6 +59,9 @@ def parse_sheet(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = cells.where("error IS NULL").withColumn("kind", classify(cell(0)))
     rows = rows.withColumn("heading", cell(0))
     data = carry_headings(rows, "file", "row_idx", "kind", "heading")
+    # the link belongs to the number cell; a row without that cell has no link
+    grant_id = F.when(F.size("cells") > 5, link_id(F.col("link")))
+    data = data.withColumn("grant_id", settled(grant_id))
     typed = data.select(
         "file", "row_idx",
         F.coalesce(cell(2), F.lit("")).alias("opportunity_agency"),
@@ -74,8 +78,7 @@ def parse_sheet(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
         ).alias("eligibility"),
         numbers.amount(cell(3)).alias("estimated_funding"),
         F.coalesce(cell(4), F.lit("")).alias("expected_awards"),
-        # the link belongs to the number cell; a row without that cell has no link
-        F.when(F.size("cells") > 5, link_id(F.col("link"))).alias("grant_id"),
+        "grant_id",
         numbers.x_mark(cell(13)).alias("match"),
         F.coalesce(cell(5), F.lit("")).alias("opportunity_number"),
         F.coalesce(cell(1), F.lit("")).alias("opportunity_title"),
@@ -84,8 +87,7 @@ def parse_sheet(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
                 F.when(numbers.cfda_number(cell(0)).isNull(), "CFDA"),
                 F.when(numbers.amount_is_bad(cell(3)), "EstimatedFunding"),
                 F.when(
-                    (F.size("cells") > 5) & F.col("link").isNotNull()
-                    & link_id(F.col("link")).isNull(),
+                    (F.size("cells") > 5) & F.col("link").isNotNull() & F.col("grant_id").isNull(),
                     "GrantID",
                 ),
                 F.when(cell(12).isNotNull() & due_date(cell(12)).isNull(), "DueDate"),

@@ -28,21 +28,21 @@ def allowed_senders(mail: DataFrame, allow: DataFrame, sender: str = "sender") -
 
     Senders are made distinct first, so a sender or domain with very many mails is one row here.
     """
+    def keys(address: Column, domain: Column) -> Column:
+        return F.explode(F.array(
+            F.struct(F.lit("address").alias("kind"), address.alias("value")),
+            F.struct(F.lit("domain").alias("kind"), domain.alias("value")),
+        )).alias("key")
+
     own = norm_address(F.col(sender))
-    people = mail.select(sender).where(F.col(sender).isNotNull()).distinct().select(
-        sender, own["domain"].alias("_domain"), own["complete"].alias("_complete")
-    )
+    people = mail.select(sender).where(F.col(sender).isNotNull()).distinct()
+    people = people.select(sender, keys(own["complete"], own["domain"]))
     entry = F.lower(F.trim("entry"))
-    entries = allow.select(
-        F.when(F.instr(entry, "@") > 0, norm_address(entry)["complete"]).alias("_complete"),
-        F.when(F.instr(entry, "@") == 0, entry).alias("_domain"),
-    )
-    by_address = entries.where("_complete IS NOT NULL").select("_complete")
-    by_domain = entries.where("_domain IS NOT NULL").select("_domain")
-    hits = people.join(by_address, "_complete", "left_semi").select(sender).unionByName(
-        people.join(by_domain, "_domain", "left_semi").select(sender)
-    )
-    return hits.distinct()
+    is_address = F.instr(entry, "@") > 0
+    entries = allow.select(keys(
+        F.when(is_address, norm_address(entry)["complete"]), F.when(~is_address, entry)
+    )).where("key.value IS NOT NULL")
+    return people.join(entries, "key", "left_semi").select(sender).distinct()
 
 
 def verdict(sender_ok: Column, spf: Column, spam: Column, virus: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantflow.frames import settled
 from grantflow.functions import mail
 
 
@@ -24,7 +25,7 @@ def parse_mail(df: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.select(
         *df.columns,
         mail.is_message(head).alias("_ok"),
-        mail.sender(mail.header(head, "From")).alias("sender"),
+        settled(mail.sender(mail.header(head, "From"))).alias("sender"),
         mail.sent_at(mail.header(head, "Date")).alias("sent_at"),
         mail.sent_day(mail.header(head, "Date")).alias("sent_day"),
         mail.header(head, "Received-SPF").alias("spf"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantflow import schemas
+from grantflow.frames import settled
 
 DELIMITER = "_1_0>"
 _SYNOPSIS_END = "</OpportunitySynopsisDetail"
@@ -24,6 +25,16 @@ _CORRUPT = "_corrupt_record"
 _PARSED = T.StructType([*schemas.REGISTRY.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
+def _from_xml(body: Column) -> Column:
+    """Fields of a record body, its text kept as it is."""
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _CORRUPT,
+        "ignoreSurroundingSpaces": "false",
+    }
+    return F.from_xml(F.concat(F.lit("<R>"), body, F.lit("</R>")), _PARSED, options)
+
+
 def read_chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, split, ord, chunk): pieces of the documents in document order.
 
@@ -85,20 +96,12 @@ def parse_chunks(chunks: DataFrame, forecasts: bool = False) -> tuple[DataFrame,
     is_forecast = F.col("chunk").endswith(_FORECAST_END)
     tagged = chunks.withColumn("is_forecast", F.when(is_forecast, True).when(is_synopsis, False))
 
-    body = F.regexp_replace("chunk", r"</Opportunity(?:Synopsis|Forecast)Detail\z", "")
-    parsed = tagged.where(F.col("is_forecast").isNotNull()).withColumn(
-        "rec",
-        F.from_xml(
-            F.concat(F.lit("<R>"), body, F.lit("</R>")),
-            _PARSED,
-            {
-                "mode": "PERMISSIVE",
-                "columnNameOfCorruptRecord": _CORRUPT,
-                "ignoreSurroundingSpaces": "false",
-            },
-        ),
-    )
-    wanted = parsed if forecasts else parsed.where(~F.col("is_forecast"))
+    # both closing tags have the same length
+    body = F.substring(F.col("chunk"), F.lit(1), F.length("chunk") - len(_SYNOPSIS_END))
+    records = tagged.where(F.col("is_forecast").isNotNull())
+    if not forecasts:
+        records = records.where(~F.col("is_forecast"))
+    wanted = records.withColumn("rec", settled(_from_xml(body)))
     bad = F.col("rec").isNull() | F.col(f"rec.{_CORRUPT}").isNotNull()
 
     good = _finish(wanted.where(~bad).select(*place, "is_forecast", "rec.*"), *place)
@@ -121,16 +124,28 @@ def read_registry(
 
 def decode_records(df: DataFrame, text_col: str) -> DataFrame:
     """First record of a per-grant document held in a column; status says why there is none."""
-    tag = r"(?s)<(Opportunity(?:Synopsis|Forecast)Detail)_1_0(?:\s[^>]*)?>(.*?)</\1_1_0>"
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": _CORRUPT,
-        "ignoreSurroundingSpaces": "false",
-    }
-    kind = F.nullif(F.regexp_extract(text_col, tag, 1), F.lit(""))
-    wrapped = F.concat(F.lit("<R>"), F.regexp_extract(text_col, tag, 2), F.lit("</R>"))
-    rec = F.when(kind.isNotNull(), F.from_xml(wrapped, _PARSED, options))
-    out = df.withColumn("is_forecast", kind == "OpportunityForecastDetail").withColumn("rec", rec)
+    text = F.col(text_col)
+    opening = {tag: F.instr(text, f"<{tag}") for tag in (schemas.SYNOPSIS_TAG, schemas.FORECAST_TAG)}
+    synopsis, forecast = opening[schemas.SYNOPSIS_TAG], opening[schemas.FORECAST_TAG]
+    is_forecast = (
+        F.when((synopsis > 0) & ((forecast == 0) | (synopsis < forecast)), False)
+        .when(forecast > 0, True)
+    )
+
+    def body(tag: str) -> Column:
+        # what stands between the end of the opening tag and the closing tag
+        rest = F.substring(text, opening[tag], F.length(text))
+        rest = F.substring(rest, F.instr(rest, ">") + 1, F.length(rest))
+        end = F.instr(rest, f"</{tag}>")
+        return F.when(end > 0, F.substring(rest, F.lit(1), end - 1))
+
+    found = df.withColumn("is_forecast", is_forecast)
+    found = found.withColumn(
+        "_body",
+        F.when(F.col("is_forecast"), body(schemas.FORECAST_TAG))
+        .when(~F.col("is_forecast"), body(schemas.SYNOPSIS_TAG)),
+    )
+    out = found.withColumn("rec", settled(_from_xml(F.col("_body"))))
     status = (
         F.when(F.col("is_forecast").isNull(), "no_record")
         .when(F.col("rec").isNull() | F.col(f"rec.{_CORRUPT}").isNotNull(), "undecodable")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantflow import schemas
+from grantflow.frames import settled
 
 _CORRUPT = "_corrupt_record"
 # the due date is written as midnight UTC
@@ -31,7 +32,7 @@ def required_problem(rec: Column, corrupt: Column, bill: str = "bill", key: str
 def decode_sheet_json(df: DataFrame, text_col: str) -> DataFrame:
     """Adds ``rec`` and ``reason``; unknown fields are ignored."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    out = df.withColumn("rec", F.from_json(text_col, _JSON, options))
+    out = df.withColumn("rec", settled(F.from_json(text_col, _JSON, options)))
     corrupt = F.when(F.col("rec").isNull(), F.lit("null")).otherwise(F.col(f"rec.{_CORRUPT}"))
     return out.withColumn("reason", required_problem(F.col("rec"), corrupt))
 
