@@ -88,5 +88,15 @@ def list_objects(spark: SparkSession, path: str, prefix: str | None = None) -> D
     return found.where(F.col("path").startswith(prefix)) if prefix else found
 
 
+def objects_without_rows(
+    inventory: DataFrame, rows: DataFrame, path: str = "path"
+) -> DataFrame:
+    """Objects of an inventory table that gave no row: empty files, or files without a record.
+
+    Spark's file readers skip empty files, so these can only be found from an inventory.
+    """
+    return inventory.join(rows.select(path), path, "left_anti")
+
+
 def empty_prepared(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.PREPARED)

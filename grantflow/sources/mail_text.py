@@ -10,7 +10,7 @@ from grantflow.functions import mail
 
 
 def read_mail(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
     )
 

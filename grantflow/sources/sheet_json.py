@@ -39,7 +39,7 @@ def decode_sheet_json(df: DataFrame, text_col: str) -> DataFrame:
 
 def read_sheet_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) over many one-record documents."""
-    docs = spark.read.option("wholetext", True).text(path).select(
+    docs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), "value"
     )
     out = decode_sheet_json(docs, "value")
