@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grantflow.frames import settled
 from grantflow.functions.ulid import revision_id
 from grantflow.records import RecordSpec
 
@@ -39,28 +40,31 @@ def upsert_changed(
         key,
         F.struct(
             *[F.col(a) for a in spec.attrs],
-            *[c.alias(f"_carries_{a}") for a, c in spec.carried.items()],
+            *[cond.alias(f"_carries_{name}") for name, (cond, _) in spec.carried.items()],
         ).alias("_in"),
     )
 
-    def carries(attr: str) -> Column:
+    groups = {attr: spec.group_of(attr) for attr in spec.attrs}
+
+    def carries(group: str | None) -> Column:
         given = F.col("_in").isNotNull()
-        return given & F.col(f"_in._carries_{attr}") if attr in spec.carried else given
+        return given if group is None else given & F.col(f"_in._carries_{group}")
+
+    def differs() -> Column:
+        """One struct comparison for each group of attributes that come together."""
+        parts = []
+        for group in dict.fromkeys(groups.values()):
+            names = [a for a in spec.attrs if groups[a] == group]
+            pair = (F.struct(*names), F.struct(*[F.col(f"_in.{a}").alias(a) for a in names]))
+            parts.append(carries(group) & any_changed([pair]))
+        return reduce(lambda a, b: a | b, parts)
 
     def merged(df: DataFrame, is_new: bool) -> DataFrame:
-        if is_new:
-            changed = F.lit(True)
-        else:
-            pairs = [
-                (F.col(a), F.when(carries(a), F.col(f"_in.{a}")).otherwise(F.col(a)))
-                for a in spec.attrs
-            ]
-            changed = F.col("_in").isNotNull() & any_changed(pairs)
-        df = df.withColumn("changed", changed)
+        df = df.withColumn("changed", F.lit(True) if is_new else settled(differs()))
         out = []
         for name in prev.columns:
             if name in spec.attrs:
-                value = F.when(carries(name), F.col(f"_in.{name}")).otherwise(F.col(name))
+                value = F.when(carries(groups[name]), F.col(f"_in.{name}")).otherwise(F.col(name))
             elif name == spec.revision and batch_millis is not None:
                 fresh = revision_id(batch_millis, F.col(key), F.col("_in"))
                 value = F.when(F.col("changed"), fresh).otherwise(F.col(name))

@@ -14,8 +14,8 @@ from grantflow import schemas
 class RecordSpec:
     """Key, freshness date and the attributes a record writes.
 
-    ``carried`` names a boolean column for attributes that only some records carry; a record
-    that does not carry an attribute leaves the stored value alone.
+    ``carried`` names groups of attributes that only some records carry, each with its condition;
+    a record that does not carry an attribute leaves the stored value alone.
     """
 
     key: str
@@ -23,18 +23,22 @@ class RecordSpec:
     date_col: str | None = None
     date_format: str = "MMddyyyy"
     revision: str = "revision"
-    carried: dict[str, Column] = field(default_factory=dict)
+    carried: dict[str, tuple[Column, tuple[str, ...]]] = field(default_factory=dict)
+
+    def group_of(self, attr: str) -> str | None:
+        return next((name for name, (_, attrs) in self.carried.items() if attr in attrs), None)
 
 
 def registry_spec() -> RecordSpec:
     is_forecast = F.col("is_forecast")
-    carried = {n: ~is_forecast for n in schemas.SYNOPSIS_ONLY}
-    carried.update({n: is_forecast for n in schemas.FORECAST_ONLY})
     return RecordSpec(
         key="grant_id",
-        attrs=tuple(["is_forecast", *schemas.REGISTRY_FIELDS]),
+        attrs=("is_forecast", *schemas.REGISTRY_FIELDS),
         date_col="LastUpdatedDate",
-        carried=carried,
+        carried={
+            "synopsis": (~is_forecast, tuple(schemas.SYNOPSIS_ONLY)),
+            "forecast": (is_forecast, tuple(schemas.FORECAST_ONLY)),
+        },
     )
 
 

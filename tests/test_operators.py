@@ -46,6 +46,12 @@ def prepared(spark, *rows):
     return spark.createDataFrame(list(rows), schemas.PREPARED)
 
 
+def stored(df, path):
+    """What a job does between two upserts: write the snapshot and read it back."""
+    df.write.parquet(str(path))
+    return df.sparkSession.read.schema(df.schema).parquet(str(path))
+
+
 # --- freshness -------------------------------------------------------------------------------
 
 FRESH = RecordSpec(key="id", attrs=("v",), date_col="day")
@@ -83,28 +89,30 @@ def test_any_changed_needs_attributes():
         upsert.any_changed([])
 
 
-def test_upsert_is_idempotent_and_writes_only_changes(spark):
+def test_upsert_is_idempotent_and_writes_only_changes(spark, tmp_path):
     spec = registry_spec()
     prev = prepared(spark, item(grant_id="1"), item(grant_id="2"), item(grant_id="9"))
     batch = [item(grant_id="1"), item(grant_id="2", AgencyName="Other"), item(grant_id="3")]
     incoming = prepared(spark, *batch).drop("revision", "Bill")
-    out = upsert.upsert_changed(prev, incoming, spec, F.lit(1_700_000_000_000))
+    out = stored(upsert.upsert_changed(prev, incoming, spec, F.lit(1_700_000_000_000)), tmp_path / "a")
     rows = {r.grant_id: r for r in out.collect()}
     assert {k: r.changed for k, r in rows.items()} == {"1": False, "2": True, "3": True, "9": False}
     assert rows["1"].revision == rows["9"].revision == GOOD["revision"]
     assert rows["2"].revision[:10] == rows["3"].revision[:10] != GOOD["revision"][:10]
     assert (rows["2"].Bill, rows["3"].Bill, rows["2"].AgencyName) == ("Some Act", None, "Other")
-    again = upsert.upsert_changed(out.drop("changed"), incoming, spec, F.lit(1_800_000_000_000))
+    again = stored(
+        upsert.upsert_changed(out.drop("changed"), incoming, spec, F.lit(1_800_000_000_000)), tmp_path / "b")
     assert again.where("changed").count() == 0
     assert sorted(again.drop("changed").collect(), key=str) == sorted(out.drop("changed").collect(), key=str)
 
 
-def test_upsert_forecast_then_synopsis_keeps_forecast_fields(spark):
+def test_upsert_forecast_then_synopsis_keeps_forecast_fields(spark, tmp_path):
     spec = registry_spec()
     forecast = item(is_forecast=True, FiscalYear="2016", CloseDate=None, CloseDateExplanation=None, GrantorContactText=None)
     synopsis = item(is_forecast=False, FiscalYear=None)
     drop = ("revision", "Bill")
     one = upsert.upsert_changed(prepared(spark), prepared(spark, forecast).drop(*drop), spec, F.lit(1)).drop("changed")
+    one = stored(one, tmp_path / "one")
     two = upsert.upsert_changed(one, prepared(spark, synopsis).drop(*drop), spec, F.lit(2)).first()
     assert (two.is_forecast, two.FiscalYear, two.CloseDate, two.changed) == (False, "2016", "10092020", True)
     back = upsert.upsert_changed(
@@ -121,17 +129,19 @@ def test_blank_replaces_value_and_counts_as_change_against_absent(spark):
     assert rows == {"1": ("", True), "2": ("", True), "3": ("", False)}
 
 
-def test_order_of_the_two_sources_does_not_matter(spark):
+def test_order_of_the_two_sources_does_not_matter(spark, tmp_path):
     registry = prepared(spark, item(grant_id="1")).drop("revision", "Bill")
     bills = spark.createDataFrame([("1", "New Act"), ("2", "Other Act")], "grant_id string, Bill string")
     empty = prepared(spark)
-    def run(*steps):
+
+    def run(name, *steps):
         table = empty
-        for spec, df in steps:
+        for i, (spec, df) in enumerate(steps):
             table = upsert.upsert_changed(table, df, spec, F.lit(5)).drop("changed")
+            table = stored(table, tmp_path / f"{name}{i}")
         return sorted(table.drop("revision").collect(), key=str)
     a, b = (registry_spec(), registry), (sheet_spec(), bills)
-    assert run(a, b) == run(b, a)
+    assert run("x", a, b) == run("y", b, a)
 
 
 def test_small_batch_is_broadcast_against_the_snapshot(spark, tmp_path):
