@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantflow import schemas
 from grantflow.functions.keys import id_prefix
@@ -51,12 +52,21 @@ def commits(spark: SparkSession, root: str) -> list[int]:
     return sorted(r.version for r in rows)
 
 
-def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    """A committed snapshot, the newest by default; None when nothing was written yet."""
+def read_snapshot(
+    spark: SparkSession, root: str, version: int | None = None,
+    schema: T.StructType = schemas.PREPARED,
+) -> DataFrame | None:
+    """A committed snapshot, the newest by default; None when nothing was written yet.
+
+    The schema is given, not inferred: a prefix like ``012`` is text, and a purged snapshot may
+    have no files to infer from.
+    """
     known = commits(spark, root)
     if not known:
         return None
-    return spark.read.parquet(f"{root}/version={version if version is not None else known[-1]}")
+    full = T.StructType([*schema.fields, T.StructField("id_prefix", T.StringType())])
+    folder = f"{root}/version={version if version is not None else known[-1]}"
+    return spark.read.schema(full).parquet(folder)
 
 
 def write_snapshot(df: DataFrame, root: str, version: int, key: str = "grant_id") -> None:

@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
+from grantflow import schemas
 from grantflow.operators.events import publishable
-from grantflow.operators.freshness import latest_per_key
+from grantflow.operators.freshness import freshness, latest_per_key
 from grantflow.operators.upsert import upsert_changed
 from grantflow.records import RecordSpec
 from grantflow.sources import items
@@ -65,7 +67,7 @@ def stream_upsert(
     checkpoint: str,
     newest_first: list[Column],
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    schema=None,
+    schema: StructType = schemas.PREPARED,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Keep the snapshot table current. Its state is the table itself, keyed by record.
@@ -81,10 +83,14 @@ def stream_upsert(
             return
         earlier = [v for v in known if v < version]
         if earlier:
-            previous = items.read_snapshot(spark, root, earlier[-1]).drop("id_prefix")
+            previous = items.read_snapshot(spark, root, earlier[-1], schema).drop("id_prefix")
         else:
-            previous = spark.createDataFrame([], schema) if schema else items.empty_prepared(spark)
+            previous = spark.createDataFrame([], schema)
         records = prepare(batch) if prepare else batch
+        if spec.date_col:
+            # late data: an older or equal date never overwrites
+            judged = freshness(records, previous, spec)
+            records = judged.where(F.col("outcome").isin("created", "updated")).drop("outcome", "reason")
         incoming = latest_per_key(records, spec.key, *newest_first)
         upserted = upsert_changed(previous, incoming, spec, F.lit(int(time.time() * 1000)))
         items.write_snapshot(upserted.drop("changed"), root, version, spec.key)

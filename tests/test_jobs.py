@@ -78,6 +78,8 @@ def test_ingest_publish_purge(spark, tmp_path):
     assert purge_table(spark, root, 5, dry_run=True).first()["items"] == 4
     purged = {r.grant_id: r for r in purge_table(spark, root, 5, sheet=True, keep_revision=True).collect()}
     assert purged["1002"].Bill is None and purged["1002"].revision == now["1002"].revision
+    assert purge_table(spark, root, 6, everything=True).count() == 0
+    assert items.read_snapshot(spark, root).count() == 0
 
 
 def test_caps_in_ingest(spark, tmp_path):
@@ -161,17 +163,18 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
         q = streams.stream_upsert(stream, root, spec, str(tmp_path / "ck"), order(), records)
         assert q.awaitTermination(120)
 
-    for day, doc in (("01", document(synopsis(1001), synopsis(1002))), ("02", document(synopsis(1002, "01052023"), synopsis(1003)))):
+    for day, doc in (("01", document(synopsis(1001), synopsis(1002))), ("02", document(synopsis(1002, "01052023"), synopsis(1003))),
+                     ("03", document(synopsis(1002, "01032023"), synopsis(1001)))):
         path = landing / f"sources/2023/01/{day}/grants.gov"
         path.mkdir(parents=True)
         (path / "extract.xml").write_text(doc)
         (path / "archive.zip").write_bytes(b"x")
         drain()
-    assert items.commits(spark, root) == [1, 2]
+    assert items.commits(spark, root) == [1, 2, 3]
     streamed = items.read_snapshot(spark, root).drop("id_prefix", "revision")
     before = items.read_snapshot(spark, root)
     drain()  # nothing new: no new snapshot
-    assert items.commits(spark, root) == [1, 2] and before.count() == 3
+    assert items.commits(spark, root) == [1, 2, 3] and before.count() == 3
 
     chunks = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "extract.xml").option(
         "lineSep", "_1_0>").text(str(landing)).select(
