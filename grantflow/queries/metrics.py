@@ -15,6 +15,11 @@ def _now():
     return F.lit(_NOW).cast("timestamp_ntz")
 
 
+def _cents():
+    """Values as whole numbers, whose sums are exact in any order."""
+    return F.round(F.col("value") * 100).cast("bigint")
+
+
 def _samples(spark: SparkSession, folder: str) -> DataFrame:
     tag = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"))
     return table(spark, folder, "events").select(
@@ -24,19 +29,16 @@ def _samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT CAST(ts AS DATE) AS day, event_type AS metric, round(sum(value), 2) AS total,
-       round(avg(value), 4) AS average, count(*) AS samples
+SELECT CAST(ts AS DATE) AS day, event_type AS metric, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
+       avg(CAST(round(value * 100) AS BIGINT)) AS average, count(*) AS samples
 FROM events GROUP BY ALL
 """)
 def metric_rollup(spark, folder):
     out = metrics.rollup(
         _samples(spark, folder), "1 day", {"metric": F.col("metric")},
-        {"total": F.sum("value"), "average": F.avg("value"), "samples": F.count(F.lit(1))},
-    )
-    return out.select(
-        F.to_date("bucket").alias("day"), "metric", F.round("total", 2).alias("total"),
-        F.round("average", 4).alias("average"), "samples",
+        {"cents": F.sum(_cents()), "average": F.avg(_cents()), "samples": F.count(F.lit(1))},
     )
+    return out.withColumn("day", F.to_date("bucket")).drop("bucket")
 
 
 @query("""
@@ -146,16 +148,16 @@ def alert_stale(spark, folder):
 
 @query("""
 WITH m AS (
-  SELECT date_trunc('minute', ts) AS minute, avg(greatest(value - 5, 0)) AS a FROM events GROUP BY ALL)
-SELECT date_trunc('hour', minute)::VARCHAR AS hour, round(min(a), 4) AS depth, min(a) > 0 AS alert
+  SELECT date_trunc('minute', ts) AS minute, avg(greatest(CAST(round(value * 100) AS BIGINT) - 500, 0)) AS a FROM events GROUP BY ALL)
+SELECT date_trunc('hour', minute)::VARCHAR AS hour, min(a) AS depth, min(a) > 0 AS alert
 FROM m GROUP BY ALL
 """)
 def alert_depth(spark, folder):
     """Average per minute, smallest minute of the hour."""
-    depth = F.greatest(F.col("value") - 5, F.lit(0.0))
+    depth = F.greatest(_cents() - 500, F.lit(0))
     out = monitors.alert_depth(_samples(spark, folder), depth)
     return out.select(
-        F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"), F.round("depth", 4).alias("depth"), "alert"
+        F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"), "depth", "alert"
     )
 
 
