@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,3 +16,8 @@ def settled(c: Column) -> Column:
     depends on where the row stands, which is what the condition here, always true, stands for.
     """
     return F.when(F.spark_partition_id() >= 0, c)
+
+
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a column that it mentions several times, computed once per row."""
+    return F.get(F.transform(F.array(c), lambda v: use(v)), 0)

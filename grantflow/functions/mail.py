@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from grantflow.frames import let
+
 _ADDRESS = r"[^<>@\s,;\"]+@[^<>@\s,;\"]+"
 _SENDER = rf"^(?:(?:\"(?:[^\"\\]|\\.)*\"|[^\"<>@,]*)\s*<({_ADDRESS})>|({_ADDRESS}))\z"
 _PART_MARK = "\x01"
@@ -14,18 +16,25 @@ def normal_newlines(text: Column) -> Column:
     return F.replace(text, F.lit("\r\n"), F.lit("\n"))
 
 
+def _head(flat: Column) -> Column:
+    end = F.instr(flat, "\n\n")
+    block = F.substring(flat, F.lit(1), end - 1)
+    return F.when(end > 1, F.regexp_replace(block, r"\n[ \t]+", " "))
+
+
 def head(text: Column) -> Column:
     """Header block with folded lines joined; NULL when no blank line ends it."""
-    body = normal_newlines(text)
-    end = F.instr(body, "\n\n")
-    block = F.substring(body, F.lit(1), end - 1)
-    return F.when(end > 1, F.regexp_replace(block, r"\n[ \t]+", " "))
+    return _head(normal_newlines(text))
 
 
-def body(text: Column) -> Column:
-    flat = normal_newlines(text)
-    end = F.instr(flat, "\n\n")
-    return F.when(end > 0, F.substring(flat, end + 2, F.length(flat)))
+def split_message(text: Column) -> Column:
+    """struct(head, body) at the first blank line; both NULL when there is none."""
+    def parts(flat: Column) -> Column:
+        end = F.instr(flat, "\n\n")
+        body = F.when(end > 0, F.substring(flat, end + 2, F.length(flat)))
+        return F.struct(_head(flat).alias("head"), body.alias("body"))
+
+    return let(normal_newlines(text), parts)
 
 
 def is_message(head_text: Column) -> Column:
@@ -93,38 +102,41 @@ def _decoded(part_head: Column, part_body: Column) -> Column:
 
 def plain_part(text: Column) -> Column:
     """struct(text, status) of the first text/plain part of a multipart/alternative message."""
-    top = head(text)
-    kind = header(top, "Content-Type")
-    media = F.lower(F.trim(F.substring_index(kind, ";", 1)))
-    mark = F.coalesce(
-        F.nullif(F.regexp_extract(kind, r"(?i)boundary=\"([^\"]+)\"", 1), F.lit("")),
-        F.nullif(F.regexp_extract(kind, r"(?i)boundary=([^\s;\"]+)", 1), F.lit("")),
-    )
-    pieces = F.split(
-        F.replace(
-            F.concat(F.lit("\n"), body(text)), F.concat(F.lit("\n--"), mark), F.lit(_PART_MARK)
-        ),
-        _PART_MARK,
-    )
-    # what precedes the first mark is preamble; a piece starting with -- closes the message
-    inner = F.filter(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: ~p.startswith("--"))
-    parts = F.transform(
-        inner,
-        lambda p: F.struct(
-            head(F.regexp_replace(p, r"^[ \t]*\n", "")).alias("head"),
-            body(F.regexp_replace(p, r"^[ \t]*\n", "")).alias("body"),
-        ),
-    )
-    plain = F.get(
-        F.filter(parts, lambda p: header(p["head"], "Content-Type").startswith("text/plain")), 0
-    )
-    status = (
-        F.when(~is_message(top), "message")
-        .when(media != "multipart/alternative", "not_multipart")
-        .when(plain.isNull(), "no_plaintext")
-        .otherwise("ok")
-    )
-    return F.struct(
-        F.when(status == "ok", _decoded(plain["head"], plain["body"])).alias("text"),
-        status.alias("status"),
-    )
+    def first_plain(message: Column, mark: Column) -> Column:
+        pieces = F.split(
+            F.replace(
+                F.concat(F.lit("\n"), message["body"]), F.concat(F.lit("\n--"), mark),
+                F.lit(_PART_MARK),
+            ),
+            _PART_MARK,
+        )
+        # what precedes the first mark is preamble; a piece starting with -- closes the message
+        inner = F.filter(pieces, lambda p, i: (i > 0) & ~p.startswith("--"))
+        parts = F.transform(inner, lambda p: split_message(F.regexp_replace(p, r"^[ \t]*\n", "")))
+        return F.get(
+            F.filter(parts, lambda p: header(p["head"], "Content-Type").startswith("text/plain")), 0
+        )
+
+    def judged(message: Column) -> Column:
+        kind = header(message["head"], "Content-Type")
+        media = F.lower(F.trim(F.substring_index(kind, ";", 1)))
+        mark = F.coalesce(
+            F.nullif(F.regexp_extract(kind, r"(?i)boundary=\"([^\"]+)\"", 1), F.lit("")),
+            F.nullif(F.regexp_extract(kind, r"(?i)boundary=([^\s;\"]+)", 1), F.lit("")),
+        )
+
+        def result(plain: Column) -> Column:
+            status = (
+                F.when(~is_message(message["head"]), "message")
+                .when(media != "multipart/alternative", "not_multipart")
+                .when(plain.isNull(), "no_plaintext")
+                .otherwise("ok")
+            )
+            return let(status, lambda s: F.struct(
+                F.when(s == "ok", _decoded(plain["head"], plain["body"])).alias("text"),
+                s.alias("status"),
+            ))
+
+        return let(first_plain(message, mark), result)
+
+    return let(split_message(text), judged)
