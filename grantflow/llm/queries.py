@@ -19,4 +19,14 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing)}
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.warc import archive_round_trip, page_of
+
+    records = archive_round_trip(spark, table(spark, folder, "pages"))
+    return records.select(
+        page_of("record_id").alias("page_id"), "uri", "payload_bytes", "payload_digest", "record_type",
+        page_of("refers_to_id").alias("refers_to"), "digest_ok", "error",
+    ).withColumnRenamed("uri", "url")
+
+
+QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing, op2_warc)}
