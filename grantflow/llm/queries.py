@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grantflow.queries.base import Query, table
 
@@ -29,4 +30,14 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumnRenamed("uri", "url")
 
 
-QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing, op2_warc)}
+def _held_out(parts: int, part: int) -> Column:
+    return F.crc32(F.col("id").cast("string")) % parts == part
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.language_id import identify
+
+    return identify(table(spark, folder, "documents"), held_out=_held_out(4, 2)).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing, op2_warc, op8_language_id)}
