@@ -40,4 +40,12 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"), held_out=_held_out(4, 2)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing, op2_warc, op8_language_id)}
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.toxicity import score_toxicity
+
+    scored = score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), held_out=_held_out(5, 0))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity)}
