@@ -48,4 +48,13 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {q.__name__: Query(q, None) for q in (op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity)}
+def op4_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.weighted_sampling import fingerprints
+
+    return fingerprints(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {q.__name__: Query(q, None) for q in (
+    op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity,
+    op4_weighted_sampling,
+)}
