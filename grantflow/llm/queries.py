@@ -54,7 +54,13 @@ def op4_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.jaccard_join import jaccard_classes
+
+    return jaccard_classes(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {q.__name__: Query(q, None) for q in (
     op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity,
-    op4_weighted_sampling,
+    op4_weighted_sampling, op9_jaccard_join,
 )}
