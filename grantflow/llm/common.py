@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ASCII white space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -39,3 +39,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that further columns with clashing names do no harm."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def row_key(df: DataFrame) -> Column:
+    """A hash of all columns: equal rows have equal keys. Nulls are told from texts and from each other's columns."""
+    return F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(f"\0{i}")) for i, c in enumerate(df.columns)])

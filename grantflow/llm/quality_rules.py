@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantflow.llm.common import pick, staged
+from grantflow.llm.common import pick, row_key, staged
 
 
 class Limits(NamedTuple):
@@ -153,3 +153,11 @@ def quality_rules(
             (~failed & (left * 100 >= F.col("n_words") * limits.left_pct)).alias("kept"),
         )
     )
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are."""
+    keyed = docs.withColumn("_row", row_key(docs))
+    verdicts = quality_rules(keyed, "_row", text_col, host_col, limits)
+    rejected = staged(verdicts.where("NOT kept").select(F.col("id").alias("_row")).distinct(), "rejected")
+    return keyed.join(rejected, "_row", "left_anti").drop("_row")

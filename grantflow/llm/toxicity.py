@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql import types as T
 
 from grantflow.llm.common import pick
 from grantflow.llm.recurrent import Adam, Gru, add_rows, both_ways, flip, table_gradient, tanh, uniform, unflip
@@ -291,15 +291,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column) -> list[tu
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    held_out: Column | None = None,
+    held_out: Column | None = None, carry: bool = False,
 ) -> DataFrame:
-    """``id, held_out, score, predicted`` per row of ``docs``; ``held_out`` is a condition on ``id``."""
-    rows = pick(docs, id_col, text_col).toDF("id", "text").withColumn("id", F.col("id").cast("long"))
+    """``id, held_out, score, predicted`` per row of ``docs``; ``held_out`` is a condition on ``id``.
+
+    With ``carry`` also ``row``, a struct of all columns of ``docs``.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("boolean")
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), whole.alias("row"))
     held_out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     marks = pick(labels, id_col, label_col).toDF("id", "toxic").where(F.col("id").isNotNull())
-    sample = training_rows(rows, marks, ~held_out)
+    sample = training_rows(rows.select("id", "text"), marks, ~held_out)
     model = train([r[1] for r in sample], [r[2] for r in sample]) if sample else None
-    schema = pa.schema([("id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
+    kept = rows.select("id", held_out.alias("held_out"), "row")
+    returned = T.StructType(kept.schema.fields + [
+        T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
@@ -309,8 +316,14 @@ def score_toxicity(
             parts = [scorer.scores(texts[i : i + 500]) if scorer else np.zeros(len(texts[i : i + 500]))
                      for i in range(0, len(texts), 500)]
             found = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("held_out"), pa.array(found, pa.float64()),
-                 pa.array((found >= 0.5).astype(np.int32))], schema=schema)
+            columns = [batch.column("id"), batch.column("held_out"), batch.column("row"),
+                       pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "row", "score", "predicted"])
+
+    scored = rows.select("id", held_out.alias("held_out"), "row", "text").mapInArrow(score, returned)
+    return scored if carry else scored.drop("row")
+
 
-    return rows.select("id", held_out.alias("held_out"), "text").mapInArrow(score, from_arrow_schema(schema))
+def keep_civil(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted to be toxic, all columns as they are."""
+    return score_toxicity(docs, labels, id_col, text_col, carry=True).where("predicted = 0").select("row.*")
