@@ -60,7 +60,13 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op1_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.html_blocks import extract
+
+    return extract(table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
 QUERIES = {q.__name__: Query(q, None) for q in (
     op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity,
-    op4_weighted_sampling, op9_jaccard_join,
+    op4_weighted_sampling, op9_jaccard_join, op1_html_blocks,
 )}
