@@ -464,14 +464,21 @@ def main_text(pages: list[str | None], p: dict[str, np.ndarray], features: Featu
     ]
 
 
+def training_pages(rows: DataFrame) -> list[str]:
+    """At most PAGES different pages; their hashes are chosen before any text travels."""
+    hashed = rows.where("html IS NOT NULL").withColumn("o", F.xxhash64("id", "html"))
+    chosen = [r.o for r in hashed.select("o").distinct().orderBy("o").limit(PAGES).collect()]
+    texts = hashed.where(F.col("o").isin(chosen)).groupBy("o").agg(F.min(F.substring("html", 1, PAGE_CHARS)).alias("h"))
+    return [r.h for r in texts.orderBy("o").collect()]
+
+
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
 ) -> DataFrame:
     """``id, url, text, n_chars`` per page."""
     rows = pick(pages, id_col, url_col, html_col).toDF("id", "url", "html").select(
         F.col("id").cast("long").alias("id"), "url", "html")
-    sample = rows.where(F.col("html").isNotNull()).select(F.xxhash64("id", "html").alias("o"), F.substring("html", 1, PAGE_CHARS).alias("h"))
-    params = train([r.h for r in sample.orderBy("o", "h").limit(PAGES).collect()])
+    params = train(training_pages(rows))
     schema = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
