@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantflow.llm.quotations import ORACLE_SQL as QUOTATION_SQL
 from grantflow.queries.base import Query, table
 
+# Only where SQL can say it: models, samplers, tokenizers and packers are tested against brute force instead.
+ORACLES = {"op6_quotation_links": QUOTATION_SQL}
+
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from grantflow.llm.quality_rules import quality_rules
@@ -66,7 +70,20 @@ def op1_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {q.__name__: Query(q, None) for q in (
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.sentencepiece_stream import round_trip
+
+    return round_trip(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.quotations import linked_messages
+
+    return linked_messages(table(spark, folder, "conversations"))
+
+
+QUERIES = {q.__name__: Query(q, ORACLES.get(q.__name__)) for q in (
     op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity,
     op4_weighted_sampling, op9_jaccard_join, op1_html_blocks,
+    op3_sentencepiece, op6_quotation_links,
 )}
