@@ -56,7 +56,7 @@ def compare(spark, con, folder, name, run, sql):
 
 
 def main() -> int:
-    from grantflow.queries import REGISTRY
+    from __spark_entry__ import ALL as REGISTRY
     from grantflow.session import build_session
 
     args = sys.argv[1:]
