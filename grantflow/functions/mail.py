@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from grantflow.frames import let
 
 _ADDRESS = r"[^<>@\s,;\"]+@[^<>@\s,;\"]+"
-_SENDER = rf"^(?:(?:\"(?:[^\"\\]|\\.)*\"|[^\"<>@,]*)\s*<({_ADDRESS})>|({_ADDRESS}))\z"
+# a quoted name is looked at as a whole: backslash pairs are taken out of it first
+_SENDER = rf"^(?:(?:\"[^\"]*+\"|[^\"<>@,]*+)\s*+<({_ADDRESS})>|({_ADDRESS}))\z"
 _PART_MARK = "\x01"
 
 
@@ -39,9 +40,8 @@ def split_message(text: Column) -> Column:
 
 def is_message(head_text: Column) -> Column:
     """Every header line is ``Name: value``."""
-    return F.coalesce(
-        head_text.rlike(r"^(?:[!-9;-~]+[ \t]*:[^\n]*(?:\n(?!\z)|\z))+\z"), F.lit(False)
-    )
+    odd = F.filter(F.split(head_text, "\n"), lambda line: ~line.rlike(r"^[!-9;-~]++[ \t]*+:"))
+    return F.coalesce(F.size(odd) == 0, F.lit(False))
 
 
 def header(head_text: Column, name: str) -> Column:
@@ -51,7 +51,7 @@ def header(head_text: Column, name: str) -> Column:
 
 def sender(from_header: Column) -> Column:
     """Address of ``Name <a@b>`` or ``a@b``; NULL when the header is neither."""
-    text = F.trim(from_header)
+    text = F.regexp_replace(F.trim(from_header), r"(?s)\\\\.", "")
     found = F.coalesce(
         F.nullif(F.regexp_extract(text, _SENDER, 1), F.lit("")),
         F.nullif(F.regexp_extract(text, _SENDER, 2), F.lit("")),

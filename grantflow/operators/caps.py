@@ -2,34 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grantflow.operators.skew import running
-
 
 def cap_records(
-    df: DataFrame,
-    total: int,
-    per_type: dict,
-    group: str,
-    kind: str,
-    pos: str,
-    block: Column | None = None,
+    df: DataFrame, total: int, per_type: dict, group: str, kind: str, pos: str, block: Column | None = None,
 ) -> DataFrame:
     """Keep the first ``total`` records per group and the first ``per_type[k]`` of each kind.
 
-    -1 means no cap. A record dropped by its type's cap does not use up the total.
+    -1 means no cap. A record dropped by its type's cap does not use up the total. ``block`` goes before ``pos`` in the
+    order. A row number under a limit lets each task keep the first rows of a group before anything is shuffled.
     """
+    order = [F.col(pos)] if block is None else [block, F.col(pos)]
     out = df
     limits = {k: n for k, n in per_type.items() if n >= 0}
     if limits:
-        out = running(out, [group, kind], pos, {"_nth": ("sum", F.lit(1))}, block)
-        cap = F.lit(None).cast("int")
+        capped = F.col(kind).isin(list(limits))
+        most = max(limits.values())
+        cap = F.lit(most)
         for value, n in limits.items():
             cap = F.when(F.col(kind) == F.lit(value), F.lit(n)).otherwise(cap)
-        out = out.where(cap.isNull() | (F.col("_nth") <= cap)).drop("_nth")
+        nth = F.row_number().over(Window.partitionBy(group, kind).orderBy(*order))
+        kept = df.where(capped).withColumn("_nth", nth).where(F.col("_nth") <= most).where(F.col("_nth") <= cap).drop("_nth")
+        out = kept.unionByName(df.where(~F.coalesce(capped, F.lit(False))))
     if total >= 0:
-        out = running(out, [group], pos, {"_nth": ("sum", F.lit(1))}, block)
-        out = out.where(F.col("_nth") <= total).drop("_nth")
+        nth = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+        out = out.withColumn("_nth", nth).where(F.col("_nth") <= total).drop("_nth")
     return out

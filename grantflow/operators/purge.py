@@ -59,4 +59,4 @@ def match_paths(
 
 def purge_paths(df: DataFrame, matches: DataFrame, path: str = "path") -> DataFrame:
     """What is left after removing the matched objects."""
-    return df.join(matches.select(path).distinct(), path, "left_anti")
+    return df.join(matches.select(path), path, "left_anti")

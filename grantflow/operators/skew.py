@@ -35,7 +35,7 @@ def lookup_join(
 
     Without ``hot`` the adaptive skew join splits a heavy key of the left side at run time. With
     ``hot`` (from ``hot_keys``) those keys are spread over ``salts`` tasks up front: a left row
-    takes the salt of the partition it stands in, which a retried task gives again, and the one
+    takes a salt from a hash of its columns, so that clustered rows of a key spread as well, and the one
     matching right row is repeated for every salt. Other keys keep a single salt, so the right
     side grows by at most ``HOT_KEYS * salts`` rows.
     """
@@ -44,7 +44,7 @@ def lookup_join(
     flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     many = left.join(flagged, key, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[c for c in left.columns]), F.lit(salts))).otherwise(F.lit(0)),
     )
     one = right.join(flagged, key, "left").withColumn(
         "_salt",

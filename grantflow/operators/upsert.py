@@ -92,6 +92,14 @@ def upsert_changed(
     return kept.unionByName(added)
 
 
+def upsert_delta(
+    prev: DataFrame, incoming: DataFrame, spec: RecordSpec, batch_millis: Column | None = None, images: bool = False,
+) -> DataFrame:
+    """The new and changed rows alone: the table is filtered by the keys of the batch before anything is compared."""
+    touched = prev.join(incoming.select(spec.key), spec.key, "left_semi").select(prev.columns)
+    return upsert_changed(touched, incoming, spec, batch_millis, images).where("changed")
+
+
 def change_feed(upserted: DataFrame) -> DataFrame:
     """(op, old, new) rows of an upsert made with ``images``."""
     return upserted.where("changed").select("op", "old", "new")

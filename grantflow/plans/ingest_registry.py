@@ -14,7 +14,7 @@ from grantflow.operators.freshness import (
     outcome_counts,
 )
 from grantflow.operators.metrics import samples
-from grantflow.operators.upsert import upsert_changed
+from grantflow.operators.upsert import upsert_delta
 from grantflow.records import registry_spec
 from grantflow.sources import items, landing
 from grantflow.sources.registry_xml import parse_chunks, read_chunks
@@ -63,7 +63,9 @@ def ingest_registry(
             {"false": caps.get("synopsis", -1), "true": caps.get("forecast", -1)},
             "file", "_kind", "ord", F.col("split"),
         ).drop("_kind")
-    previous = items.read_snapshot(spark, root)
+    if version in items.commits(spark, root):
+        raise ValueError(f"version {version} is committed")
+    previous = items.read_snapshot(spark, root, below=version)
     if previous is None:
         previous = items.empty_prepared(spark)
     previous = previous.drop("id_prefix")
@@ -72,10 +74,8 @@ def ingest_registry(
     judge(records, previous).write.mode("overwrite").parquet(staged)
     judged = spark.read.parquet(staged)
 
-    upserted = upsert_changed(
-        previous, accept(judged), registry_spec(), F.lit(batch_millis)
-    )
-    items.write_snapshot(upserted.drop("changed"), root, version)
+    changed = upsert_delta(previous, accept(judged), registry_spec(), F.lit(batch_millis))
+    items.write_delta(changed.drop("changed"), root, version, writer=run_id)
 
     undecoded = rejects.select(
         F.lit(None).cast("string").alias("key"),
@@ -93,5 +93,5 @@ def ingest_registry(
         counts, "split_registry", F.timestamp_millis(F.lit(batch_millis)),
         F.concat(F.lit("record."), F.col("outcome")), F.col("records"),
     )
-    measured.write.mode("append").json(f"{root}/_metrics")
+    measured.write.mode("overwrite").json(f"{root}/_metrics/run_id={run_id}/step=split_registry")
     return {"counts": counts, "samples": measured}

@@ -9,7 +9,7 @@ from grantflow.functions.keys import key_problem
 from grantflow.operators.freshness import latest_per_key
 from grantflow.operators.metrics import samples, union_samples
 from grantflow.operators.sheet import file_errors, parse_sheet
-from grantflow.operators.upsert import upsert_changed
+from grantflow.operators.upsert import upsert_delta
 from grantflow.records import sheet_spec
 from grantflow.sources import items, landing
 from grantflow.sources.workbooks import read_sheet_cells
@@ -42,13 +42,13 @@ def ingest_sheet(
     rows, cell_errors = parse_sheet(cells)
     updates, rejects = bill_updates(rows)
 
-    previous = items.read_snapshot(spark, root)
+    if version in items.commits(spark, root):
+        raise ValueError(f"version {version} is committed")
+    previous = items.read_snapshot(spark, root, below=version)
     if previous is None:
         previous = items.empty_prepared(spark)
-    upserted = upsert_changed(
-        previous.drop("id_prefix"), updates, sheet_spec(), F.lit(batch_millis)
-    )
-    items.write_snapshot(upserted.drop("changed"), root, version)
+    changed = upsert_delta(previous.drop("id_prefix"), updates, sheet_spec(), F.lit(batch_millis))
+    items.write_delta(changed.drop("changed"), root, version, writer=run_id)
 
     place = F.concat_ws(":", "file", "row_idx").alias("seq")
     dead = rejects.select(F.col("grant_id").alias("key"), place, "reason", F.col("Bill").alias("payload"))
@@ -68,5 +68,5 @@ def ingest_sheet(
                 F.col("n"), {"target": F.col("target")}),
         samples(row_counts, "split_sheet", at, F.lit("spreadsheet.row_count"), F.col("n")),
     )
-    measured.write.mode("append").json(f"{root}/_metrics")
+    measured.write.mode("overwrite").json(f"{root}/_metrics/run_id={run_id}/step=split_sheet")
     return {"rows": rows, "cell_errors": cell_errors, "samples": measured}

@@ -48,5 +48,5 @@ def publish(
         samples(malformed, "publish_events", at, F.lit("item_image.malformatted_field"),
                 F.col("n"), {"field": F.col("field"), "change": F.col("change")}),
     )
-    measured.write.mode("append").json(f"{root}/_metrics")
+    measured.write.mode("overwrite").json(f"{root}/_metrics/run_id={run_id}/step=publish_events")
     return {"events": events, "rejected": rejected, "samples": measured}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,50 +43,100 @@ def item_struct(item: Column) -> Column:
     return F.struct(*fields, bad.alias("unbuildable"))
 
 
-def commits(spark: SparkSession, root: str) -> list[int]:
-    """Committed snapshot numbers, oldest first: one small marker file per snapshot."""
+_MARK = "version long, kind string, writer string, batch long"
+
+
+def marks(spark: SparkSession, root: str) -> DataFrame:
+    """One small row per commit: version, kind (base or delta), and who wrote it (stream or run, batch)."""
     try:
-        rows = spark.read.schema("version long").json(f"{root}/{_COMMITS}").distinct().collect()
+        return spark.read.schema(_MARK).json(f"{root}/{_COMMITS}").withColumn("kind", F.coalesce("kind", F.lit("base")))
     except AnalysisException:
-        return []
-    return sorted(r.version for r in rows)
+        return spark.createDataFrame([], _MARK)
+
+
+def commits(spark: SparkSession, root: str) -> list[int]:
+    """Committed snapshot numbers, oldest first."""
+    return sorted(r.version for r in marks(spark, root).select("version").distinct().collect())
+
+
+def written(spark: SparkSession, root: str, writer: str, batch: int) -> bool:
+    """Whether this writer has committed this batch; batch numbers and versions are different things."""
+    mine = (F.col("writer") == writer) & (F.col("batch") == batch)
+    return bool(marks(spark, root).where(mine).limit(1).count())
+
+
+def current_rows(base: DataFrame, deltas: DataFrame, key: str, version: str = "_version") -> DataFrame:
+    """The newest row of each key: rows of ``deltas`` (with their ``_version``) before those of ``base``.
+
+    The base is only filtered by the keys of the deltas, never shuffled for an order.
+    """
+    newest = Window.partitionBy(key).orderBy(F.desc(version))
+    changed = deltas.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n", version)
+    return base.join(changed.select(key), key, "left_anti").select(base.columns).unionByName(changed.select(base.columns))
 
 
 def read_snapshot(
     spark: SparkSession, root: str, version: int | None = None,
-    schema: T.StructType = schemas.PREPARED,
+    schema: T.StructType = schemas.PREPARED, below: int | None = None, key: str = "grant_id",
 ) -> DataFrame | None:
-    """A committed snapshot, the newest by default; None when nothing was written yet.
+    """The table as of a commit, the newest by default or the newest ``below`` a number; None when there is none.
 
-    The schema is given, not inferred: a prefix like ``012`` is text, and a purged snapshot may
-    have no files to infer from.
+    It is the last base up to there and the deltas after it. The schema is given, not inferred: a prefix like ``012``
+    is text, and a purged snapshot may have no files to infer from.
     """
-    known = commits(spark, root)
+    known = sorted({(r.version, r.kind) for r in marks(spark, root).select("version", "kind").collect()})
+    known = [(v, k) for v, k in known if (version is None or v <= version) and (below is None or v < below)]
     if not known:
         return None
     full = T.StructType([*schema.fields, T.StructField("id_prefix", T.StringType())])
-    folder = f"{root}/version={version if version is not None else known[-1]}"
-    return spark.read.schema(full).parquet(folder)
+    base = max((v for v, k in known if k == "base"), default=None)
+
+    def folder(v: int) -> DataFrame:
+        return spark.read.schema(full).parquet(f"{root}/version={v}")
+
+    start = spark.createDataFrame([], full) if base is None else folder(base)
+    after = [v for v, k in known if k == "delta" and (base is None or v > base)]
+    if not after:
+        return start
+    deltas = folder(after[0]).withColumn("_version", F.lit(after[0]))
+    for v in after[1:]:
+        deltas = deltas.unionByName(folder(v).withColumn("_version", F.lit(v)))
+    return current_rows(start, deltas, key)
+
+
+def _commit(
+    df: DataFrame, root: str, version: int, key: str, kind: str, writer: str | None, batch: int | None
+) -> None:
+    """A failed or repeated run overwrites its own folder only; readers see committed folders only."""
+    rows = df if "id_prefix" in df.columns else df.withColumn("id_prefix", F.coalesce(id_prefix(F.col(key)), F.lit("short")))
+    rows.hint("rebalance", "id_prefix").write.mode("overwrite").partitionBy("id_prefix").parquet(f"{root}/version={version}")
+    marker = df.sparkSession.range(1).select(
+        F.lit(version).cast("bigint").alias("version"), F.lit(kind).alias("kind"),
+        F.lit(writer).cast("string").alias("writer"), F.lit(batch).cast("bigint").alias("batch"))
+    marker.write.mode("append").json(f"{root}/{_COMMITS}")
 
 
-def write_snapshot(df: DataFrame, root: str, version: int, key: str = "grant_id") -> None:
-    """Write beside the snapshot being read, then commit it with a marker.
+def write_snapshot(df: DataFrame, root: str, version: int, key: str = "grant_id", writer: str | None = None,
+                   batch: int | None = None) -> None:
+    """The whole table as a new base."""
+    _commit(df, root, version, key, "base", writer, batch)
 
-    A failed or repeated run overwrites its own folder only; readers see committed folders only.
-    """
-    (
-        df.withColumn("id_prefix", F.coalesce(id_prefix(F.col(key)), F.lit("short")))
-        .hint("rebalance", "id_prefix")
-        .write.mode("overwrite").partitionBy("id_prefix").parquet(f"{root}/version={version}")
-    )
-    marker = df.sparkSession.range(1).select(F.lit(version).cast("bigint").alias("version"))
-    marker.write.mode("append").json(f"{root}/{_COMMITS}")
 
+def write_delta(df: DataFrame, root: str, version: int, key: str = "grant_id", writer: str | None = None,
+                batch: int | None = None) -> None:
+    """Only new and changed rows: what is written follows the batch, not the table."""
+    _commit(df, root, version, key, "delta", writer, batch)
 
-def scan_items(
-    prepared: DataFrame, key: str = "grant_id", keys_only: bool = False
-) -> DataFrame:
-    return prepared.select(key) if keys_only else prepared
+
+def compact(spark: SparkSession, root: str, schema: T.StructType = schemas.PREPARED, key: str = "grant_id",
+            most: int = 20) -> bool:
+    """A new base once more than ``most`` deltas lie on the last one; for a schedule, not for every batch."""
+    known = sorted({(r.version, r.kind) for r in marks(spark, root).select("version", "kind").collect()})
+    base = max((v for v, k in known if k == "base"), default=-1)
+    if sum(v > base for v, _ in known) <= most:
+        return False
+    write_snapshot(read_snapshot(spark, root, schema=schema, key=key), root, known[-1][0] + 1, key, "compact")
+    return True
 
 
 def list_objects(spark: SparkSession, path: str, prefix: str | None = None) -> DataFrame:

@@ -27,14 +27,13 @@ def write_prepared(df: DataFrame, key: str, source: Column, path: str) -> None:
 
 
 def write_quarantine(df: DataFrame, run_id: str, step: str, path: str) -> None:
-    """Dead letters: (run_id, step, key, seq, reason, payload)."""
+    """Dead letters: (run_id, step, key, seq, reason, payload). A run that is repeated replaces its own."""
     (
         df.select(
-            F.lit(run_id).alias("run_id"), F.lit(step).alias("step"),
             F.col("key").cast("string"), F.col("seq").cast("string"), "reason", "payload",
             F.current_timestamp().alias("written_at"),
         )
-        .write.mode("append").partitionBy("run_id").parquet(path)
+        .write.mode("overwrite").parquet(f"{path}/run_id={run_id}/step={step}")
     )
 
 

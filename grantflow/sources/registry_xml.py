@@ -14,13 +14,12 @@ from grantflow import schemas
 from grantflow.frames import settled
 
 DELIMITER = "_1_0>"
-_SYNOPSIS_END = "</OpportunitySynopsisDetail"
-_FORECAST_END = "</OpportunityForecastDetail"
-# what may stand before a record: white space, prolog, comments, the document's own tags
-_FILLER = (
-    r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|</?(?:\w+:)?Grants(?:\s[^>]*)?>)*"
-    r"(?:<Opportunity(?:Synopsis|Forecast)Detail)?\z"
-)
+# what may stand before a record: white space, prolog, comments, the document's own tags; each pattern is one pass
+# over a character class, without repeated groups, so its length is no matter
+_SKIPPED = [
+    r"(?s)<!--.*?-->", r"(?s)<\?.*?\?>", r"</?(?:\w++:)?Grants(?:\s[^>]*+)?>",
+    r"<(?:\w++:)?Opportunity(?:Synopsis|Forecast)Detail\z", r"[\s\x{FEFF}]++",
+]
 _CORRUPT = "_corrupt_record"
 _PARSED = T.StructType([*schemas.REGISTRY.fields, T.StructField(_CORRUPT, T.StringType())])
 
@@ -35,6 +34,13 @@ def _from_xml(body: Column) -> Column:
     return F.from_xml(F.concat(F.lit("<R>"), body, F.lit("</R>")), _PARSED, options)
 
 
+def _filler(chunk: Column) -> Column:
+    """Nothing is left once everything that may stand between records is taken away."""
+    for pattern in _SKIPPED:
+        chunk = F.regexp_replace(chunk, pattern, "")
+    return chunk == ""
+
+
 def read_chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, split, ord, chunk): pieces of the documents in document order.
 
@@ -92,12 +98,15 @@ def parse_chunks(chunks: DataFrame, forecasts: bool = False) -> tuple[DataFrame,
     is a record that was cut off or never closed, and goes to the rejects.
     """
     place = ("file", "split", "ord")
-    is_synopsis = F.col("chunk").endswith(_SYNOPSIS_END)
-    is_forecast = F.col("chunk").endswith(_FORECAST_END)
+    # tags are known by their local names
+    is_synopsis = F.col("chunk").rlike(r"</(?:\w++:)?OpportunitySynopsisDetail\z")
+    is_forecast = F.col("chunk").rlike(r"</(?:\w++:)?OpportunityForecastDetail\z")
     tagged = chunks.withColumn("is_forecast", F.when(is_forecast, True).when(is_synopsis, False))
 
-    # both closing tags have the same length
-    body = F.substring(F.col("chunk"), F.lit(1), F.length("chunk") - len(_SYNOPSIS_END))
+    plain = F.regexp_replace("chunk", r"</Opportunity(?:Synopsis|Forecast)Detail\z", "")
+    # in a document with prefixes the fields lose theirs with the closing tag
+    named = F.regexp_replace(F.regexp_replace("chunk", r"</\w++:\w++\z", ""), r"(</?)\w++:(?=\w)", "$1")
+    body = F.when(F.col("chunk").rlike(r"</\w++:\w++\z"), named).otherwise(plain)
     records = tagged.where(F.col("is_forecast").isNotNull())
     if not forecasts:
         records = records.where(~F.col("is_forecast"))
@@ -108,7 +117,7 @@ def parse_chunks(chunks: DataFrame, forecasts: bool = False) -> tuple[DataFrame,
     rejects = (
         wanted.where(bad).select(*place, F.lit("undecodable").alias("reason"), "chunk")
         .unionByName(
-            tagged.where(F.col("is_forecast").isNull() & ~F.col("chunk").rlike(_FILLER))
+            tagged.where(F.col("is_forecast").isNull() & ~_filler(F.col("chunk")))
             .select(*place, F.lit("unclosed").alias("reason"), "chunk")
         )
     )

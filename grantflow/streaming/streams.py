@@ -2,51 +2,63 @@
 
 from __future__ import annotations
 
+import json
+import re
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from grantflow import schemas
+from grantflow.functions.keys import key_problem
 from grantflow.operators.events import publishable
 from grantflow.operators.freshness import freshness, latest_per_key
-from grantflow.operators.upsert import upsert_changed
+from grantflow.operators.router import route
+from grantflow.operators.upsert import upsert_delta
 from grantflow.records import RecordSpec
-from grantflow.sources import items
+from grantflow.sources import items, landing
 from grantflow.sources.registry_xml import DELIMITER
 
 # Fixed value: longest time a micro-batch gathers changes.
 GATHER = "180 seconds"
+# The file names of each step; the route itself is checked on the whole key.
 _LAST_NAME = {
     "extract_registry": "archive.zip",
     "split_registry": "extract.xml",
     "enqueue_sheet_download": "raw.eml",
     "split_sheet": "download.xlsx",
+    "persist_registry": "v2.*",
+    "persist_sheet": "v1.json",
 }
 
 
 def stream_route(spark: SparkSession, root: str, step: str) -> DataFrame:
-    """New objects under ``root`` that belong to a step, in the shape its reader takes."""
+    """New objects under ``root`` whose key takes them to ``step``, in the shape its reader takes."""
     reader = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", _LAST_NAME[step])
     )
     path = F.col("_metadata.file_path")
+    # the key is what stands below the root
+    here = re.sub(r"^\w+:", "", root).strip("/") + "/"
+    key = F.substring_index(path, here, -1)
+    mine = route(key) == step
     if step == "split_registry":
-        return reader.option("lineSep", DELIMITER).format("text").load(root).select(
+        return reader.option("lineSep", DELIMITER).format("text").load(root).where(mine).select(
             path.alias("file"), F.col("_metadata.file_block_start").alias("split"),
             F.col("value").alias("chunk"),
         )
-    if step == "enqueue_sheet_download":
-        return reader.option("wholetext", "true").format("text").load(root).select(
+    if step in ("enqueue_sheet_download", "persist_registry", "persist_sheet"):
+        return reader.option("wholetext", "true").format("text").load(root).where(mine).select(
             path.alias("path"), F.col("value").alias("text")
         )
     return reader.format("binaryFile").schema(
         "path string, modificationTime timestamp, length long, content binary"
-    ).load(root)
+    ).load(root).where(mine)
 
 
 def _trigger(writer: DataStreamWriter, available_now: bool) -> DataStreamWriter:
@@ -60,43 +72,72 @@ def with_order(batch: DataFrame) -> DataFrame:
     return batch.withColumn("ord", F.monotonically_increasing_id())
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps: another checkpoint is another stream, whatever its batch numbers."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first().value)["id"]
+
+
+def _begun(spark: SparkSession, root: str, writer: str, batch_id: int) -> int:
+    """Milliseconds at which a batch was first begun; a replay finds the same."""
+    path = f"{root}/_begun/{writer}/{batch_id}"
+    try:
+        return spark.read.schema("millis long").json(path).first().millis
+    except (AnalysisException, AttributeError):
+        now = int(time.time() * 1000)
+        spark.range(1).select(F.lit(now).alias("millis")).write.mode("overwrite").json(path)
+        return now
+
+
 def stream_upsert(
     stream: DataFrame,
     root: str,
     spec: RecordSpec,
     checkpoint: str,
     newest_first: list[Column],
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]] | None = None,
     schema: StructType = schemas.PREPARED,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep the snapshot table current. Its state is the table itself, keyed by record.
+    """Keep the table current. Its state is the table itself, keyed by record.
 
-    A batch writes the snapshot with its own number and commits it last; a replayed batch that
-    was committed is skipped, one that was not starts over from the same previous snapshot.
+    ``prepare`` turns a micro-batch into records, or into (records, rejects ``key, seq, reason, payload``). A batch is
+    judged once and written beside the table; what is created or updated becomes a delta with the next free version,
+    what failed goes to the quarantine. The commit names stream and batch: a replayed batch that was committed is
+    skipped, one that was not starts over with the same time. A stream with a new checkpoint reads its input again,
+    which changes nothing. Writers of one table take turns.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = items.commits(spark, root)
-        version = batch_id + 1
-        if version in known:
+        writer = _stream_id(spark, checkpoint)
+        if items.written(spark, root, writer, batch_id):
             return
-        earlier = [v for v in known if v < version]
-        if earlier:
-            previous = items.read_snapshot(spark, root, earlier[-1], schema).drop("id_prefix")
-        else:
-            previous = spark.createDataFrame([], schema)
-        records = prepare(batch) if prepare else batch
-        if spec.date_col:
-            # late data: an older or equal date never overwrites
-            judged = freshness(records, previous, spec)
-            records = judged.where(F.col("outcome").isin("created", "updated")).drop("outcome", "reason")
-        incoming = latest_per_key(records, spec.key, *newest_first)
-        upserted = upsert_changed(previous, incoming, spec, F.lit(int(time.time() * 1000)))
-        items.write_snapshot(upserted.drop("changed"), root, version, spec.key)
-
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
-    return _trigger(writer, available_now).start()
+        version = max(items.commits(spark, root), default=0) + 1
+        previous = items.read_snapshot(spark, root, schema=schema, key=spec.key)
+        previous = spark.createDataFrame([], schema) if previous is None else previous.drop("id_prefix")
+        prepared = prepare(batch) if prepare else batch
+        records, rejects = prepared if isinstance(prepared, tuple) else (prepared, None)
+        # late data: an older or equal date never overwrites
+        judged = freshness(records, previous, spec) if spec.date_col else records.withColumns(
+            {"outcome": F.lit("created"), "reason": F.lit(None).cast("string")})
+        problem = key_problem(F.col(spec.key))
+        judged = judged.withColumn("reason", F.coalesce("reason", problem)).withColumn(
+            "outcome", F.when(problem.isNotNull(), "failed").otherwise(F.col("outcome")))
+        work = f"{root}/_work/{writer}/{batch_id}"
+        judged.write.mode("overwrite").parquet(work)
+        judged = spark.read.schema(judged.schema).parquet(work)
+
+        failed = judged.where("outcome = 'failed'").select(
+            F.col(spec.key).cast("string").alias("key"), F.lit(None).cast("string").alias("seq"), "reason",
+            F.to_json(F.struct(*records.columns)).alias("payload"))
+        dead = failed if rejects is None else failed.unionByName(rejects.select("key", "seq", "reason", "payload"))
+        landing.write_quarantine(dead, f"{writer}-{batch_id}", "stream_upsert", f"{root}/_quarantine")
+        accepted = judged.where(F.col("outcome").isin("created", "updated")).drop("outcome", "reason")
+        incoming = latest_per_key(accepted, spec.key, *newest_first)
+        changed = upsert_delta(previous, incoming, spec, F.lit(_begun(spark, root, writer, batch_id)))
+        items.write_delta(changed.drop("changed"), root, version, spec.key, writer, batch_id)
+
+    stream_writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
+    return _trigger(stream_writer, available_now).start()
 
 
 def stream_publish(

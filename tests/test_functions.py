@@ -65,9 +65,9 @@ def test_award_count_and_flags(one):
 
 def test_link_id(one):
     cases = {
-        "https://www.grants.gov/search-results-detail/512512": 512512,
-        "https://grants.gov/search-results-detail/2152151": 2152151,
-        "https://www.grants.gov/view-opportunity.html?oppId=123456": 123456,
+        "https://www.grants.gov/search-results-detail/40071": 40071,
+        "https://grants.gov/search-results-detail/990001234": 990001234,
+        "https://www.grants.gov/view-opportunity.html?oppId=31337": 31337,
         "https://www.grants.gov/search-results-detail/77?oppId=88": 88,
         "https://www.grants.gov/search-results-detail/77?x=1": None,
         "https://not.grants.gov/search-results-detail/5": None,
@@ -105,8 +105,8 @@ def test_revision_id_is_stable_and_ordered(one):
 
 
 def test_keys(one):
-    assert one(keys.sheet_key, ["123456", "12", "123"]) == [
-        "123/123456/ffis.org/v1.json", None, "123/123/ffis.org/v1.json"]
+    assert one(keys.sheet_key, ["654321", "12", "123"]) == [
+        "654/654321/ffis.org/v1.json", None, "123/123/ffis.org/v1.json"]
     assert one(lambda c: keys.registry_key(c, F.lit(True)), ["3286"]) == [
         "328/3286/grants.gov/v2.OpportunityForecastDetail_1_0.xml"]
     assert one(lambda c: keys.registry_key(c, F.lit(False)), ["3286"]) == [
@@ -135,16 +135,16 @@ def test_norm_address(one):
 
 
 def test_matchers(one):
-    keys_ = ["123/123456/ffis.org/v1.json", "123/123456/grants.gov/v2.xml",
-             "123/123456/grants.gov/v2.OpportunitySynopsisDetail_1_0.xml", "x/123/123456/ffis.org/v1.json",
-             "123/123456/ffis.org/v1.json.bak"]
+    keys_ = ["654/654321/ffis.org/v1.json", "654/654321/grants.gov/v2.xml",
+             "654/654321/grants.gov/v2.OpportunitySynopsisDetail_1_0.xml", "x/654/654321/ffis.org/v1.json",
+             "654/654321/ffis.org/v1.json.bak"]
     assert one(match.sheet_keys, keys_) == [True, False, False, False, False]
     assert one(match.registry_keys, keys_) == [False, True, True, False, False]
     # a full match even when the first branch is a prefix of the second
     assert one(match.regex_matcher("ab|abc"), ["abc", "ab", "abcd"]) == [True, True, False]
     assert one(match.glob_matcher("a/*/[bc]?.x"), ["a/q/b1.x", "a/q/r/b1.x", "a/q/d1.x", "a//c1.x"]) == [
         True, False, False, True]
-    either = lambda c: match.any_of(c, [match.sheet_keys, match.registry_keys], "123/")
+    either = lambda c: match.any_of(c, [match.sheet_keys, match.registry_keys], "654/")
     assert one(either, keys_) == [True, True, True, False, False]
     with pytest.raises(ValueError):
         match.any_of(F.lit("k"), [])

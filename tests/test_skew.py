@@ -65,16 +65,24 @@ def test_running_never_windows_a_whole_group(spark, monkeypatch):
     assert plan.count("Window [") == 3
 
 
-def test_caps_table(spark):
-    rows = [("f", "synopsis", i) for i in range(10)] + [("f", "forecast", 10 + i) for i in range(10)]
+def test_caps_equal_counting(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("fg"), rng.choice(["synopsis", "forecast", None]), i) for i in range(120)]
+    rng.shuffle(rows)
     df = spark.createDataFrame(rows, "file string, kind string, pos int")
-    for total, synopsis, forecast, n_s, n_f in [
-        (-1, -1, -1, 10, 10), (-1, 2, -1, 2, 10), (-1, -1, 2, 10, 2), (2, -1, -1, 2, 0), (2, 3, 5, 2, 0),
-        (5, 3, -1, 3, 2),
-    ]:
+    for _ in range(6):
+        total, synopsis, forecast = (rng.choice([-1, 0, 3, 10, 200]) for _ in range(3))
+        seen, kept = {}, set()
+        for file, kind, pos in sorted(rows, key=lambda r: r[2]):
+            cap = {"synopsis": synopsis, "forecast": forecast}.get(kind, -1)
+            nth = seen[file, kind] = seen.get((file, kind), 0) + 1
+            if 0 <= cap < nth:
+                continue
+            seen[file] = seen.get(file, 0) + 1
+            if total < 0 or seen[file] <= total:
+                kept.add(pos)
         out = caps.cap_records(df, total, {"synopsis": synopsis, "forecast": forecast}, "file", "kind", "pos")
-        kinds = [r.kind for r in out.collect()]
-        assert (kinds.count("synopsis"), kinds.count("forecast")) == (n_s, n_f)
+        assert {r.pos for r in out.collect()} == kept and out.count() == len(kept)
 
 
 def test_latest_per_key_prunes_before_the_shuffle(spark):
