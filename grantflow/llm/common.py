@@ -41,6 +41,11 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """``row``, a struct of all columns, whatever their names, and ``key``, its hash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), row_key(df).alias("key"))
+
+
 def row_key(df: DataFrame) -> Column:
     """A hash of all columns: equal rows have equal keys. Nulls are told from texts and from each other's columns."""
     return F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(f"\0{i}")) for i, c in enumerate(df.columns)])

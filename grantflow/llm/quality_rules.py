@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantflow.llm.common import pick, row_key, staged
+from grantflow.llm.common import keyed, pick, staged
 
 
 class Limits(NamedTuple):
@@ -157,7 +157,9 @@ def quality_rules(
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they are."""
-    keyed = docs.withColumn("_row", row_key(docs))
-    verdicts = quality_rules(keyed, "_row", text_col, host_col, limits)
-    rejected = staged(verdicts.where("NOT kept").select(F.col("id").alias("_row")).distinct(), "rejected")
-    return keyed.join(rejected, "_row", "left_anti").drop("_row")
+    rows = keyed(docs)
+    plain = rows.select(
+        F.col("key").alias("id"), F.col(f"row.`{text_col}`").alias("text"), F.col(f"row.`{host_col}`").alias("host"))
+    verdicts = quality_rules(plain, "id", "text", "host", limits)
+    rejected = staged(verdicts.where("NOT kept").select(F.col("id").alias("key")).distinct(), "rejected")
+    return rows.join(rejected, "key", "left_anti").select("row.*")
