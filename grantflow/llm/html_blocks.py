@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from grantflow.llm.common import pick
+from grantflow.llm.common import pick, small
 from grantflow.llm.recurrent import Adam, Lstm, add_rows, flip, uniform, unflip
 
 PAGES = 200
@@ -483,9 +483,8 @@ def extract(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        for batch in batches:
-            html = batch.column("html").to_pylist()
-            texts = [t for i in range(0, len(html), 500) for t in main_text(html[i : i + 500], params, features)]
+        for batch in small(batches):
+            texts = main_text(batch.column("html").to_pylist(), params, features)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], schema=schema)

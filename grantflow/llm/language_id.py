@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from grantflow.llm.common import pick
+from grantflow.llm.common import pick, small
 from grantflow.llm.recurrent import Adam, Gru, both_ways, flip, table_gradient, uniform, unflip
 
 PER_LANG = 250
@@ -142,7 +142,7 @@ def identify(
         ("id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             texts = [t if LETTER.search(t) else "" for t in texts]
             if model is None:

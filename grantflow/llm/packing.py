@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from grantflow.llm.common import pick
+from grantflow.llm.common import pick, small
 
 CAPACITY = 1024
 GROUP_DOCS = 1500  # rests packed together: work and memory of one group stay bounded at every size
@@ -146,7 +146,7 @@ def fill(sizes: np.ndarray, capacity: int, cut: bool) -> list[tuple[int, int, in
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             encoded = (encoder.encode(t or "") for t in batch.column("text").to_pylist())
             for doc, mark, ids in zip(

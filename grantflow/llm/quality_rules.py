@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantflow.llm.common import keyed, pick, staged
+from grantflow.llm.common import keyed, pick, small, staged
 
 
 class Limits(NamedTuple):
@@ -100,7 +100,7 @@ def count_text(text: str | None) -> tuple:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         counted = [count_text(t) for t in batch.column("text").to_pylist()]
         columns = [pa.array(c, t) for c, t in zip(zip(*counted, strict=True), TYPES, strict=True)] if counted else [
             pa.array([], t) for t in TYPES]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from grantflow.llm.common import pick
+from grantflow.llm.common import pick, small
 
 BLANK = "▁"
 TABLE = 300_000  # units, and pairs of pieces, kept at once in a task
@@ -286,7 +286,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = Stream(Vocabulary(path))
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), pa.array([len(t or "") for t in texts], pa.int64()),
@@ -305,7 +305,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         stream = Stream(v)
         in_bytes = np.zeros(len(v.text), dtype=bool)
         in_bytes[list(v.bytes.values())] = True
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 text = text or ""

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantflow.llm.common import pick
+from grantflow.llm.common import pick, small
 from grantflow.llm.recurrent import Adam, Gru, add_rows, both_ways, flip, table_gradient, tanh, uniform, unflip
 
 MAX_TOXIC = 700
@@ -310,12 +310,9 @@ def score_toxicity(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
-        for batch in batches:
-            # small parts of a batch bound the windows held at once
+        for batch in small(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            parts = [scorer.scores(texts[i : i + 500]) if scorer else np.zeros(len(texts[i : i + 500]))
-                     for i in range(0, len(texts), 500)]
-            found = np.concatenate(parts) if parts else np.zeros(0)
+            found = scorer.scores(texts) if scorer else np.zeros(len(texts))
             columns = [batch.column("id"), batch.column("held_out"), batch.column("row"),
                        pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "row", "score", "predicted"])
