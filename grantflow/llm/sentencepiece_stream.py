@@ -37,6 +37,7 @@ from grantflow.llm.common import pick, small
 BLANK = "▁"
 TABLE = 300_000  # units, and pairs of pieces, kept at once in a task
 LONGEST_UNIT = 64
+LETTER = re.compile(r"[^\W\d_]")
 
 
 class Vocabulary:
@@ -67,18 +68,15 @@ class Vocabulary:
         self.halves: dict[str, tuple[str, str] | None] = {}
 
     def _unit_pattern(self) -> re.Pattern | None:
-        """Cuts text where no piece crosses: before blanks, around line ends without a piece, and before marks that
-        follow nothing but blanks and such marks in any piece. None if pieces go on after a blank."""
+        """Cuts text where no piece crosses: before blanks, around line ends without a piece, and between a letter and
+        a mark that follows no letter in any piece. None if pieces go on after a blank."""
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             return None
-        marks = set(string.punctuation)
-        while crossed := {b for p in self.ids for a, b in zip(p, p[1:]) if b in marks and a != BLANK and a not in marks}:
-            marks -= crossed
-        ends = "".join(c for c in "\n\t\r" if c not in self.ids)
-        m, e = re.escape("".join(sorted(marks))), re.escape(ends)
-        word = f"[^{BLANK}{m}{e}]"
-        return re.compile(
-            f"{BLANK}*{word}+" + (f"|{BLANK}*[{m}]+{word}*" if m else "") + (f"|[{e}]+" if e else "") + f"|{BLANK}+")
+        after = {b for p in self.ids for a, b in zip(p, p[1:]) if LETTER.match(a)}
+        m = re.escape("".join(c for c in string.punctuation if c not in after))
+        e = re.escape("".join(c for c in "\n\t\r" if c not in self.ids))
+        more = f"(?:(?<!{LETTER.pattern})[{m}]|[^{BLANK}{m}{e}])*" if m else f"[^{BLANK}{e}]*"
+        return re.compile(f"{BLANK}*[^{BLANK}{e}]{more}" + (f"|{BLANK}*[{e}]+" if e else "") + f"|{BLANK}+")
 
     def merged(self, text: str, until: int = 1) -> list[str]:
         """Merging by definition: the pair with the best score first, the leftmost of equals."""
@@ -224,7 +222,8 @@ class Stream:
         while end < len(text):
             end += 1
             prefix = text[:end]
-            for start in range(max(0, end - longest), end):
+            # short pieces are the likely ones
+            for start in range(end - 1, max(0, end - longest) - 1, -1):
                 piece = prefix[start:]
                 if end - start > 1 and not (piece in order and (halves.get(piece) or self.v.split(piece))):
                     continue
