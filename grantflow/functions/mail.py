@@ -51,7 +51,7 @@ def header(head_text: Column, name: str) -> Column:
 
 def sender(from_header: Column) -> Column:
     """Address of ``Name <a@b>`` or ``a@b``; NULL when the header is neither."""
-    text = F.regexp_replace(F.trim(from_header), r"(?s)\\\\.", "")
+    text = F.regexp_replace(F.trim(from_header), r"(?s)\\.", "")
     found = F.coalesce(
         F.nullif(F.regexp_extract(text, _SENDER, 1), F.lit("")),
         F.nullif(F.regexp_extract(text, _SENDER, 2), F.lit("")),

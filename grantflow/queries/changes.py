@@ -9,6 +9,7 @@ from grantflow.functions import ulid
 from grantflow.operators import caps, diff, events, freshness, skew, upsert
 from grantflow.queries.base import query, table
 from grantflow.records import RecordSpec
+from grantflow.sources import items
 
 _ORDERS = RecordSpec(key="custkey", attrs=("status",), date_col="day")
 
@@ -157,6 +158,31 @@ def upsert_changed(spark, folder):
     return upsert.upsert_changed(_stored(spark, folder), incoming, spec)
 
 
+@query("""
+SELECT c_custkey AS custkey, c_name,
+       CASE WHEN c_nationkey < 5 THEN round(c_acctbal + 1, 2) ELSE c_acctbal END AS c_acctbal,
+       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') THEN 'PARTIAL'
+            ELSE c_mktsegment END AS c_mktsegment
+FROM customer
+WHERE c_mktsegment <> 'AUTOMOBILE' OR c_nationkey < 5 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
+""")
+def upsert_delta(spark, folder):
+    """A base and two deltas, each with the new and changed rows of its batch only, read as the current table."""
+    names = ("custkey", "c_name", "c_acctbal", "c_mktsegment")
+    spec = RecordSpec(key="custkey", attrs=names[1:])
+    everyone = table(spark, folder, "customer").withColumnRenamed("c_custkey", "custkey")
+    base = _stored(spark, folder).select(*names)
+    renewed = everyone.where("c_nationkey < 5").withColumn("c_acctbal", _renewed()).select(*names)
+    first = upsert.upsert_delta(base, renewed, spec).drop("changed").withColumn("_version", F.lit(1))
+    partial = table(spark, folder, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("custkey"))
+    then = everyone.join(partial, "custkey", "left_semi").withColumn("c_acctbal", F.when(
+        F.col("c_nationkey") < 5, _renewed()).otherwise(F.col("c_acctbal"))).withColumn(
+        "c_mktsegment", F.lit("PARTIAL")).select(*names)
+    table_then = items.current_rows(base, first, "custkey")
+    second = upsert.upsert_delta(table_then, then, spec).drop("changed").withColumn("_version", F.lit(2))
+    return items.current_rows(base, first.unionByName(second), "custkey")
+
+
 @query("""
 WITH inc AS (
   SELECT o_custkey AS custkey, arg_max(o_orderpriority, o_orderkey) AS c_mktsegment

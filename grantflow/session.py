@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that change results (time zone) or how skewed joins are run.
 SETTINGS = {
@@ -24,18 +24,3 @@ def build_session(app: str = "grantflow", master: str | None = None, **extra: st
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back.
-
-    The folder is the one the cluster names; ``fallback_dir`` is used only where none is set.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)

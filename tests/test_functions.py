@@ -173,3 +173,30 @@ def test_sender(one):
     got = one(mail.sender, ["Some Person <some.person@example.org>", "a@b.c", "<a@b.c>", '"Doe, J" <j@d.e>',
                             "nobody", "", "a@b.c, d@e.f"])
     assert got == ["some.person@example.org", "a@b.c", "a@b.c", "j@d.e", None, None, None]
+
+
+def test_long_texts_need_no_stack(spark):
+    from grantflow.sources.registry_xml import parse_chunks
+    million = 1_000_000
+    chunks = spark.createDataFrame([
+        ("f", 0, 0, " " * million), ("f", 0, 1, "<!-- " + "x" * million + " -->\n<Grants>"), ("f", 0, 2, "<" * million),
+        ("f", 0, 3, "<?xml?>\n" * 100_000 + "<ns:Grants a='1'>"),
+    ], "file string, split int, ord int, chunk string")
+    good, rejects = parse_chunks(chunks)
+    assert good.count() == 0 and [r.ord for r in rejects.collect()] == [2]
+    heads = ["A: b\n" * (million // 5) + "C: d", "A: b\n" * (million // 5) + "no header", "A" * million + ": b"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(heads)], "i int, h string")
+    assert [r.m for r in df.select("i", mail.is_message(F.col("h")).alias("m")).orderBy("i").collect()] == [True, False, True]
+    senders = ['"' + "n" * million + '" <a@b.c>', '"' + "\\\"" * (million // 2) + '" <a@b.c>', "n" * million]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(senders)], "i int, s string")
+    assert [r.a for r in df.select("i", mail.sender(F.col("s")).alias("a")).orderBy("i").collect()] == ["a@b.c", "a@b.c", None]
+
+
+def test_prefixed_records(spark):
+    from grantflow.sources.registry_xml import parse_chunks
+    body = "<p:OpportunityID>4711</p:OpportunityID><p:LastUpdatedDate>02062024</p:LastUpdatedDate></p:OpportunitySynopsisDetail"
+    chunks = spark.createDataFrame(
+        [("f", 0, 0, "<p:Grants><p:OpportunitySynopsisDetail"), ("f", 0, 1, ">" + body), ("f", 0, 2, "</p:Grants>")],
+        "file string, split int, ord int, chunk string")
+    good, rejects = parse_chunks(chunks.withColumn("chunk", F.regexp_replace("chunk", "^>", "")))
+    assert [(r.grant_id, r.LastUpdatedDate) for r in good.collect()] == [("4711", "02062024")] and rejects.count() == 0
