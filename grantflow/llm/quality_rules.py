@@ -4,9 +4,12 @@ Lines are normalised (ASCII white space runs to one blank, trimmed, lower case)
 distinct documents of every line are counted. A line over the limits is boilerplate and is taken away; a document
 that keeps too little of its words is depleted and rejected.
 
-Copies of a document are no boilerplate: equal texts count as one document, and a line must also stand in many
-*different surroundings* (the lines before it differ), which separates a banner on many pages from the body of a
-page with near copies. De-duplication is another operator's work.
+Copies of a document are no boilerplate: equal texts count as one document, and near copies as one group. What tells
+groups apart is the *own text* of a document: its lines that stand in no more documents than the limit and don't begin
+or end like a line of more documents (an edited copy of a line keeps one of its ends). A line is boilerplate if the
+documents that have it have more different own texts than the limit; documents without any own text are one group. So
+the place of a line, the length of a block and the size of the host don't matter. Near copies whose edits change both
+ends of a line count as different. De-duplication is another operator's work.
 
 Defined results: null text is an empty text (no words: ``base_failed``); a null host is a host of its own; repeated
 rows give repeated rows; an empty table gives an empty table; further columns are not read. Lines without a word are
@@ -28,32 +31,36 @@ from grantflow.llm.common import keyed, pick, small, staged
 
 
 class Limits(NamedTuple):
-    """``docs``: a line in more distinct documents of a host is boilerplate if at least ``spread_pct`` % of them
-    have it after a different line. A document is depleted when less than ``left_pct`` % of its words are left."""
+    """``docs``: a line in more documents of a host, near copies counted once, is boilerplate. A document is depleted
+    when less than ``left_pct`` % of its words are left."""
 
     min_words: int = 10
     repeat_pct: int = 20
     docs: int = 100
-    spread_pct: int = 50
     left_pct: int = 20
 
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
+END_WORDS = 4  # words at either end of a line that an edited copy may share; half of a shorter line
 COUNTS = (
     "id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "text_hash long, lines array<struct<hash: long, before: long, words: int>>"
+    "text_hash long, lines array<struct<hash: long, head: long, tail: long, words: int>>"
 )
 
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash", "lines"]
 TYPES = [pa.int64()] * 6 + [
-    pa.list_(pa.struct([("hash", pa.int64()), ("before", pa.int64()), ("words", pa.int32())]))]
+    pa.list_(pa.struct([("hash", pa.int64()), ("head", pa.int64()), ("tail", pa.int64()), ("words", pa.int32())]))]
 
 
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _hash(words: list[bytes], seed: int = 0) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(b" ".join(words), seed))
+
+
 def repeated_words(codes: np.ndarray, width: int = 5) -> int:
     """Words in windows of ``width`` words that stand twice or more in the text, the first included."""
     n = len(codes) - width + 1
@@ -80,22 +87,22 @@ def count_text(text: str | None) -> tuple:
     codes = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
     seen: set[str] = set()
     dup = 0
-    before = 0
-    lines: dict[int, list[int]] = {}
+    lines: dict[int, list] = {}
     for line in text.split("\n"):
         parts = line.encode("utf-8", "surrogatepass").lower().split()
         if not parts:
             continue
         dup += line in seen
         seen.add(line)
-        h = _signed(xxhash.xxh3_64_intdigest(b" ".join(parts)))
-        entry = lines.setdefault(h, [before, 0])
-        entry[1] += len(parts)
-        before = h
+        h = _hash(parts)
+        if h not in lines:
+            k = min(END_WORDS, len(parts) // 2)
+            lines[h] = [_hash(parts[:k], 1), _hash(parts[-k:], 2), 0] if k else [None, None, 0]
+        lines[h][2] += len(parts)
     return (
         len(words), len(text) - sum(text.count(c) for c in SPACES), sum(text.count(c) for c in SYMBOLS), dup,
         repeated_words(codes), _signed(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))),
-        [{"hash": h, "before": b, "words": n} for h, (b, n) in lines.items()],
+        [{"hash": h, "head": a, "tail": z, "words": n} for h, (a, z, n) in lines.items()],
     )
 
 
@@ -108,6 +115,40 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("id"), batch.column("host"), *columns], names=["id", "host", *NAMES])
 
 
+def _matched(left: DataFrame, right: DataFrame, how: str, name: str) -> DataFrame:
+    """Rows of a host (null is a host) joined where ``name`` is equal; of equal names the left one stays."""
+    joined = left.alias("a").join(
+        right.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host")) & (F.col(f"a.{name}") == F.col(f"b.{name}")), how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select("a.*", *[F.col(f"b.{c}") for c in right.columns if c not in left.columns])
+
+
+def _often(rows: DataFrame, name: str, docs: int) -> DataFrame:
+    """``host`` and ``name`` of what stands in more than ``docs`` different texts of a host."""
+    return (
+        rows.select("host", name, "text_hash").distinct().groupBy("host", name).agg(F.count("*").alias("n"))
+        .where(F.col("n") > docs).select("host", name)
+    )
+
+
+def _boilerplate(line: DataFrame, docs: int) -> DataFrame:
+    """``host, hash`` of the lines that more than ``docs`` groups of near copies of a host have."""
+    common = staged(_often(line, "hash", docs), "common")
+    holders = _matched(line, common, "left_semi", "hash").select("host", "text_hash").distinct()
+    # the lines of texts with a common line, once for equal texts
+    inside = staged(
+        _matched(line, holders, "left_semi", "text_hash").groupBy("host", "text_hash", "hash").agg(
+            F.max("head").alias("head"), F.max("tail").alias("tail")), "inside")
+    own = _matched(inside, common, "left_anti", "hash")
+    for end in ("head", "tail"):
+        own = _matched(own, _often(inside, end, docs), "left_anti", end)
+    own = own.groupBy("host", "text_hash").agg(F.bit_xor("hash").alias("own"))
+    held = _matched(inside, common, "left_semi", "hash").select("host", "text_hash", "hash")
+    groups = _matched(held, own, "left", "text_hash").select("host", "hash", "own").distinct()
+    return groups.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") > docs).select("host", "hash")
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     limits: Limits = Limits(),
@@ -119,20 +160,10 @@ def quality_rules(
         .mapInArrow(_count, COUNTS),
         "lines",
     )
-    # one row per distinct text, host and line; then one per host and line
     line = counted.select("host", "text_hash", F.explode("lines").alias("l")).select("host", "text_hash", "l.*")
-    frequent = (
-        line.groupBy("host", "hash", "text_hash").agg(F.min("before").alias("before"))
-        .groupBy("host", "hash", "before").agg(F.count("*").alias("n"))
-        .groupBy("host", "hash").agg(F.sum("n").alias("n"), F.count("*").alias("settings"))
-        .where((F.col("n") > limits.docs) & (F.col("settings") * 100 >= F.col("n") * limits.spread_pct))
-        .select("host", "hash")
-    )
+    frequent = _boilerplate(line, limits.docs)
     taken = (
-        line.alias("l").join(
-            frequent.alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.hash") == F.col("f.hash")),
-            "left_semi",
-        )
+        _matched(line, frequent, "left_semi", "hash")
         # equal texts of a host lose the same words
         .groupBy("host", "text_hash", "hash").agg(F.max("words").alias("words"))
         .groupBy("host", "text_hash").agg(F.sum("words").alias("taken"))
@@ -143,10 +174,7 @@ def quality_rules(
     )
     left = F.col("n_words") - F.coalesce("taken", F.lit(0))
     return (
-        counts.alias("c").join(
-            taken.alias("t"),
-            F.col("c.host").eqNullSafe(F.col("t.host")) & (F.col("c.text_hash") == F.col("t.text_hash")), "left",
-        )
+        _matched(counts, taken, "left", "text_hash")
         .select(
             "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             failed.alias("base_failed"), left.alias("left_words"),

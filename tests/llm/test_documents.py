@@ -69,6 +69,27 @@ def test_boilerplate_lines(spark):
     assert good.columns == docs.columns and good.count() == len(rows) - 5
 
 
+def test_boilerplate_in_any_place_and_number(spark):
+    rng = random.Random(5)
+    unique = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    first, block = unique(9), [unique(9) for _ in range(10)]
+    footer, menu = unique(11), [unique(6) for _ in range(12)]
+    # a line that opens the documents, a block of ten lines, a footer after one of a few others: 100 times the limit
+    rows = [(i, "\n".join([first, unique(8), *block, unique(12), menu[i % 12], footer]), "big") for i in range(2_000)]
+    # copies with an edit in any line, anywhere in it, are one group, however many there are
+    body = [[f"b{i}x{j}" for j in range(12)] for i in range(9)]
+    for i in range(10_000, 12_000):
+        copy = [list(line) for line in body]
+        edited = copy[rng.randrange(9)]
+        at = rng.randrange(12)
+        edited[at : at + rng.randrange(2)] = [unique(1)]
+        rows.append((i, "\n".join(map(" ".join, copy)), "big"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.id: r for r in quality_rules.quality_rules(docs, limits=quality_rules.Limits(docs=20)).collect()}
+    assert {(r.left_words, r.kept) for i, r in out.items() if i < 10_000} == {(20, False)}
+    assert all(r.kept and r.left_words == r.n_words for i, r in out.items() if i >= 10_000)
+
+
 # ---------------------------------------------------------------- Jaccard join
 
 
