@@ -11,7 +11,8 @@ forms and comments), and from the structure of at most ``PAGES`` pages of the ta
 under an ``article`` or ``main`` element and no other landmark are taken as its text. Both bounds are fixed.
 
 Defined results: null and empty html, and pages without an article, give an empty text. Broken markup is read as far
-as it goes; text in scripts, styles and other hidden elements is no block; an unclosed one hides the rest. Rows without
+as it goes; text in scripts, styles and other hidden elements is no block; an unclosed one hides the rest. Formulas and
+what stands in for an object or a canvas are text like other. Quoted values may have any length. Rows without
 id and repeated rows are extracted like others; an empty table gives an empty table; further columns are not read.
 """
 
@@ -43,14 +44,19 @@ BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section "
     "summary table tbody td tfoot th thead title tr ul".split())
-HIDDEN = "script|style|template|svg|iframe|canvas|object|select|textarea|noframes|noembed|math"
+HIDDEN = frozenset("script style template svg iframe select textarea noframes noembed".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
+NAME = r"<(?P<end>/?)(?P<tag>[A-Za-z][\w:-]*+)"
+OTHER = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
+# quotes delimit a value after its "=" only; a quote without an end is a character like others
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<hidden>{HIDDEN})\b[^>]*+(?:(?<=/)>|>.*?(?:</(?P=hidden)\s*+>|\Z))|<[!?][^>]*+>"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][\w:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+')*+|[^>]*+)>",
-    re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+    rf"{OTHER}|{NAME}(?:(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|(?P<broken>))", re.S)
+PLAIN = re.compile(rf"{OTHER}|{NAME}(?P<attrs>[^>]*+)>", re.S)
+HIDDEN_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in HIDDEN}
+# all attributes in turn, so that nothing inside the value of one is taken for another
+ATTRIBUTE = re.compile(r"([^\s/>=]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
+NAMING = frozenset(("class", "id", "role", "itemprop"))
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -65,12 +71,40 @@ def element_tokens(tag: str, attrs: str) -> tuple[str, ...]:
     out = [tag]
     if "=" in attrs:
         for name, *values in ATTRIBUTE.findall(attrs):
+            if name.lower() not in NAMING:
+                continue
             kind = "." if name.lower() in ("class", "id") else "="
             for value in entities.unescape("".join(values)).split():
                 out += {kind + p.lower(): None for p in (value, *PART.findall(value))}
     return tuple(out)
 
 
+def read_tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Start, end, tag (empty if none), whether it is an end tag, and attributes; a hidden element is one token.
+
+    Takes time in proportion to the page: nothing is looked for after the last ``>``, and once a tag has no end outside
+    of quoted values up to there, values are no longer looked at.
+    """
+    token, at, last = TOKEN, 0, page.rfind(">") + 1
+    while m := token.search(page, at, last):
+        tag = (m["tag"] or "").lower()
+        if tag and m["attrs"] is None:
+            token, at = PLAIN, m.start()
+            continue
+        at = m.end()
+        if not tag:
+            if page.startswith("<!--", m.start()) and not page.endswith("-->", m.start() + 4, at):
+                at = len(page)
+        elif tag in HIDDEN and not m["end"] and (not m["attrs"] or m["attrs"][0] == "/" or m["attrs"][0].isspace()):
+            if not m["attrs"].endswith("/"):
+                end = HIDDEN_END[tag].search(page, at, last)
+                at = end.end() if end else len(page)
+            tag = ""
+        yield m.start(), at, tag, bool(m["end"]), m["attrs"] or ""
+    if (rest := page.find("<!--", max(at, last))) >= 0:
+        yield rest, len(page), "", False, ""
+
+
 def read_blocks(page: str | None) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -97,10 +131,9 @@ def read_blocks(page: str | None) -> list[Block]:
 
     page = page or ""
     at = 0
-    for m in TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+    for start, end, tag, ends, attrs in read_tokens(page):
+        add(page[at:start])
+        at = end
         if not tag:
             continue
         if tag == "br":
@@ -108,7 +141,7 @@ def read_blocks(page: str | None) -> list[Block]:
         elif tag in VOID:
             if tag == "hr":
                 close()
-        elif m["end"]:
+        elif ends:
             if any(t == tag for t, _ in stack):
                 if tag in BLOCK:
                     close()
@@ -124,8 +157,8 @@ def read_blocks(page: str | None) -> list[Block]:
                     if not any(t in BLOCK for t, _ in stack[k + 1 :]):
                         links -= sum(t == "a" for t, _ in stack[k:])
                         del stack[k:]
-            if not m["attrs"].endswith("/"):
-                stack.append((tag, element_tokens(tag, m["attrs"])))
+            if not attrs.endswith("/"):
+                stack.append((tag, element_tokens(tag, attrs)))
                 links += tag == "a"
     add(page[at:])
     close()

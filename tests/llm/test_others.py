@@ -7,6 +7,7 @@ import html
 import io
 import os
 import random
+import time
 import zlib
 
 import duckdb
@@ -170,6 +171,29 @@ def test_blocks():
         html_blocks.read_blocks(odd)
 
 
+def test_blocks_of_custom_elements_long_values_and_formulas():
+    texts = lambda page: [b.text for b in html_blocks.read_blocks(page)]
+    for name in ("svg-icon", "template-card", "select-box", "style:x"):
+        assert texts(f"<header><{name} name='x'></{name}></header><article><p>Body text one.</p></article>") == ["Body text one."]
+    assert texts("<svg\n><text>no</text></SVG ><select/><p>a<style>x</style x>b<!-- no") == ["ab"]
+    for q in "\"'":
+        value = "<p class=no>no</p> > " * 5_000
+        page = f"<div data-props={q}{value}{q} class = 'main'>one</div><iframe srcdoc={q}</iframe>{value}/>{q}>no</iframe><p>two"
+        blocks = html_blocks.read_blocks(page)
+        assert [b.text for b in blocks] == ["one", "two"] and ".main" in blocks[0].path and ".no" not in blocks[0].path
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p><object data=a><p>in words</p></object>"
+                 "<canvas><p>a table</p></canvas>") == ["if x=1 then", "in words", "a table"]
+    # quotes that don't delimit a value, or have no end
+    assert texts("<p class=\"a\"\">one</p><p title=it's>two's</p><p title='a>three") == ["one", "two's", "three"]
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a x=\">\" ", "<a x='>\" ", "<!", "<a x=\"", "<a =\"'>", "<!-- >", "<svg ><svg-a>", "a=\"'<p ", "<p x=>\"'"])
+def test_blocks_take_time_in_proportion(part):
+    start = time.process_time()
+    html_blocks.read_blocks("<p>" + part * (600_000 // len(part)))
+    assert time.process_time() - start < 10
+
+
 @pytest.fixture(scope="module")
 def model():
     # real pages aren't needed: the grammar alone teaches
