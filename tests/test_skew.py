@@ -85,6 +85,21 @@ def test_caps_equal_counting(spark):
         assert {r.pos for r in out.collect()} == kept and out.count() == len(kept)
 
 
+def test_large_caps_never_window_a_whole_group(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 100)
+    df = spark.range(0, 6000, 1, 4).select(
+        F.col("id").alias("pos"), F.lit("f").alias("file"), F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("kind"))
+    # the cap of 1 500 is above Spark's threshold for row numbers, that of 3 isn't
+    for total, even in ((2500, 1500), (3, 1500), (2500, 3)):
+        for block in (None, F.floor(F.col("pos") / 70)):
+            out = caps.cap_records(df, total, {"even": even}, "file", "kind", "pos", block)
+            assert out.columns == df.columns
+            wanted = [i for i in range(6000) if i % 2 or i < 2 * even][:total]
+            assert sorted(r.pos for r in out.collect()) == wanted
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            assert ("row_number()" in plan) == (min(total, even) <= 1000)
+
+
 def test_latest_per_key_prunes_before_the_shuffle(spark):
     df = spark.range(0, 4000, 1, 4).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     out = latest_per_key(df, "k", F.desc("v"))
