@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +49,39 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def small(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The same rows in parts of a few hundred, so that what a task makes of a part stays small."""
+def small(batches: Iterable[pa.RecordBatch], rows: int = 500, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in parts of at most ``rows`` rows and, but for a single larger row, ``size`` bytes of text, so that
+    what a task makes of a part stays small. Memory that is free goes back to the system after each batch."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        ends = np.cumsum(sum((_sizes(c) for c in batch.columns), np.zeros(batch.num_rows, dtype=np.int64)))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, side="right"))))
+            yield batch.slice(at, end - at)
+            at = end
+        trim()
+
+
+def _sizes(column: pa.Array) -> np.ndarray:
+    """Bytes of text in each row of a column; texts inside a struct count as well."""
+    if pa.types.is_struct(column.type):
+        return sum((_sizes(c) for c in column.flatten()), np.zeros(len(column), dtype=np.int64))
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.zeros(len(column), dtype=np.int64)
+
+
+def trim() -> None:
+    """Give free memory of this process back to the system: a Python worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def binaries(column: pa.Array) -> list[bytes | None]:
+    """Values of a text column as UTF-8."""
+    return column.cast(pa.binary()).to_pylist()
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
