@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantflow.llm.collocations import ORACLE_SQL as COLLOCATION_SQL
 from grantflow.llm.quotations import ORACLE_SQL as QUOTATION_SQL
 from grantflow.queries.base import Query, table
 
 # Only where SQL can say it: models, samplers, tokenizers and packers are tested against brute force instead.
-ORACLES = {"op6_quotation_links": QUOTATION_SQL}
+ORACLES = {"op6_quotation_links": QUOTATION_SQL, "op11_collocations": COLLOCATION_SQL}
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,8 +83,29 @@ def op6_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     return linked_messages(table(spark, folder, "conversations"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.runs import digests, periodic_runs, with_planted_tails
+
+    return digests(periodic_runs(with_planted_tails(table(spark, folder, "documents")))).withColumnRenamed("id", "doc_id")
+
+
+def op13_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    from grantflow.llm.trie_bpe import round_trip
+
+    return round_trip(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids_bytes", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {q.__name__: Query(q, ORACLES.get(q.__name__)) for q in (
     op10_quality_rules, op5_packing, op2_warc, op8_language_id, op7_toxicity,
     op4_weighted_sampling, op9_jaccard_join, op1_html_blocks,
-    op3_sentencepiece, op6_quotation_links,
+    op3_sentencepiece, op6_quotation_links, op11_collocations, op12_periodic_runs,
+    op13_trie_bpe,
 )}
