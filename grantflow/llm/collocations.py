@@ -4,11 +4,11 @@ A pointer stands for the words from one position to the end of its piece (text b
 the first three count. Partitioning the pointers of a block by their first word (less, equal, more), the equal part by
 the second word and so on puts equal beginnings together: the size of an equal part is the count of its phrase.
 
-1. Each task sorts the pointers of blocks of its documents and writes, per language and first word, the following
-   words with the sizes of the equal parts, staged as Parquet.
-2. The rows are routed by their leading words: by the first; where that has more than a block of rows, by the first two;
-   and where one pair has that many as well, by all three. Both lists of heavy beginnings are exact and bounded.
-3. Each task sorts the routed rows, weighted, in blocks that end between routes, and abandons every part that stays
+1. Each task deals the pointers of a block of its documents by their first words, sorts them and writes, for each route
+   (a share of the first words), the words and sizes of the equal parts, staged as Parquet.
+2. The rows are routed by their leading words: by the first; where that has very many suffixes, by the first two; and
+   where one pair has that many as well, by all three. The lists of such beginnings are complete and bounded.
+3. Each task sorts the rows of each route, weighted, in blocks that end between routes, and abandons every part that stays
    below the least count: all its occurrences are there. A route longer than two blocks is sorted in several, where
    nothing is abandoned. The sizes of equal parts of all blocks add up to the counts.
 4. Cuts, scores and the phrases that a longer one holds are joins of the counted phrases.
@@ -21,12 +21,14 @@ words of a phrase; ties are ordered by count and phrase; further columns are not
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -36,66 +38,90 @@ from grantflow.llm.common import binaries, pick, small, staged, trim
 LONGEST = 3  # words of a phrase
 LEAST = 10  # occurrences of a phrase
 TOP = 2000  # phrases of a language
-BLOCK = 1 << 19  # suffix pointers sorted at once
+BLOCK = 3 << 20  # bytes of text sorted at once; a sixth as many suffixes of routes
 ROUTE = 200_000  # rows of one first word, or pair of words, that one route may hold
 SHARE = 10_000  # ... or this part of all rows, so that the lists of heavy beginnings stay bounded
-TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]+")
-MARKS = frozenset(bytes([c]) for c in b".,;:!?\n\x0b\x0c\r")
+MARK = b"."  # all marks that end a piece
+BREAK = re.compile(rb"[ \t.,;:!?\n-\r]")
+TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
+PLAIN = bytes.maketrans(
+    string.ascii_uppercase.encode() + b",;:!?\n\x0b\x0c\r", string.ascii_lowercase.encode() + 9 * MARK)
 ENDED = -1  # the word after the last of a piece
 
 
 class Parts(NamedTuple):
-    """Equal parts, in order: how many leading keys are equal, one of the pointers, the weight."""
+    """Equal parts, in order: how many keys are equal, one of the pointers, the weight."""
 
     depth: np.ndarray
     pointer: np.ndarray
     weight: np.ndarray
 
 
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of stretches, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def multikey_quicksort(
-    key: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int, deepest: int,
-    weight: np.ndarray | None = None, least: tuple[int, ...] | None = None,
+    columns: list[Callable[[np.ndarray], np.ndarray]], pointers: np.ndarray, sizes: np.ndarray,
+    weights: np.ndarray | None = None, least: tuple[int, ...] | None = None, suffixes: bool = False,
 ) -> Parts:
-    """Equal parts of the pointers 0 .. ``size`` at every depth, ``key(pointers, depths)`` being the key at a depth.
+    """Equal parts of pointers; ``columns`` give the first, second, ... key of pointers.
 
-    All open parts are partitioned at once, each around the key of its middle pointer. A key of ``ENDED`` ends a suffix.
-    ``least`` holds the least weight of a part with so many equal keys: lighter ones are abandoned, and a part that is
-    too light for the next depth isn't partitioned. Parts come in the order of their keys, longer beginnings after shorter.
+    ``sizes`` are those of the parts that the pointers come in; each is sorted by itself. All open parts are partitioned
+    at once, each around the key of its middle pointer, into less, equal and more; the equal ones wait for the next key,
+    and a key of ``ENDED`` ends a suffix. ``least`` holds the least weight of a part with so many equal keys: lighter ones
+    are abandoned, and their further keys never asked for. With ``suffixes`` only parts of whole suffixes are given, else
+    those at every depth. Parts come in the order of their keys, longer beginnings after shorter.
     """
-    bounds = np.array([*(least or [1] * (deepest + 1)), np.iinfo(np.int64).max])
-    pointers = np.arange(size)
-    weights = np.ones(size, dtype=np.int64) if weight is None else weight
-    starts, sizes = np.zeros(1, dtype=np.int64), np.array([size], dtype=np.int64)  # in the arrays of open pointers
-    places, depths = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)  # first place in the whole order, depth
+    bounds = least or (1,) * (len(columns) + 1)
+    weights = weights if weights is not None else np.ones(len(pointers), dtype=np.int64)
     found: list[tuple[np.ndarray, ...]] = []
-    while len(pointers):
-        part = np.repeat(np.arange(len(sizes)), sizes)
-        keys = key(pointers, depths[part])
-        pivots = keys[starts + sizes // 2]
-        side = (keys > pivots[part]).astype(np.int64) * 2 + (keys == pivots[part])  # 0 less, 1 equal, 2 more
-        group = part * 3 + side
-        counts = np.bincount(group, minlength=3 * len(sizes))
-        ends = np.cumsum(counts)
-        order = np.empty(len(pointers), dtype=np.int64)
-        for s in range(3):
-            members = np.flatnonzero(side == s)
-            begins = (ends - counts)[s::3]
-            before = np.cumsum(counts[s::3]) - counts[s::3]
-            order[(begins - before)[part[members]] + np.arange(len(members))] = members
-        pointers, group = pointers[order], group[order]
-        mass = np.bincount(group, weights[pointers], minlength=len(counts)).astype(np.int64)
-        first = ends - counts
-        equal = np.zeros(len(counts), dtype=bool)
-        equal[1::3] = True
-        depth = np.repeat(depths, 3) + equal
-        place = np.repeat(places - starts, 3) + first
-        hit = np.flatnonzero(equal & (mass >= bounds[depth]))
-        found.append((place[hit], depth[hit], pointers[first[hit]], mass[hit]))
-        open_ = (counts > 0) & (mass >= bounds[depth + 1]) & ~(equal & (np.repeat(pivots, 3) == ENDED))
-        stay = open_[group]
-        pointers = pointers[stay]
-        sizes, places, depths = counts[open_], place[open_], depth[open_]
+
+    def note(hit: np.ndarray, depth: int) -> None:
+        found.append((places[hit], np.full(len(hit), depth), pointers[starts[hit]], mass[hit]))
+
+    def only(chosen: np.ndarray) -> tuple[np.ndarray, ...]:
+        stay = np.repeat(chosen, sizes)
+        return pointers[stay], key[stay], weights[stay], sizes[chosen], places[chosen]
+
+    places = np.cumsum(sizes) - sizes
+    for depth, column in enumerate(columns):
+        deepest = depth == len(columns) - 1
         starts = np.cumsum(sizes) - sizes
+        mass = np.add.reduceat(weights, starts) if len(sizes) else sizes
+        key = np.zeros(len(pointers), dtype=np.int32)
+        pointers, key, weights, sizes, places = only(mass >= bounds[depth + 1])
+        key = column(pointers)
+        waiting = []
+        while len(pointers):
+            starts = np.cumsum(sizes) - sizes
+            pivots = key[starts + sizes // 2]
+            around = np.repeat(pivots, sizes)
+            sides = [key < around, key == around, key > around]
+            counts = np.stack([np.add.reduceat(side, starts, dtype=np.int64) for side in sides], axis=1)
+            begins = starts[:, None] + np.cumsum(counts, axis=1) - counts
+            order = np.empty(len(pointers), dtype=np.int64)
+            for k, side in enumerate(sides):
+                order[_stretches(begins[:, k], counts[:, k])] = np.flatnonzero(side)
+            pointers, key, weights = pointers[order], key[order], weights[order]
+            # three parts of each, without the empty ones
+            some = np.flatnonzero(counts.ravel())
+            places = (places - starts)[some // 3] + begins.ravel()[some]
+            starts, sizes = begins.ravel()[some], counts.ravel()[some]
+            mass = np.add.reduceat(weights, starts)
+            equal, ended = some % 3 == 1, pivots[some // 3] == ENDED
+            if suffixes:
+                note(np.flatnonzero(equal & (ended | deepest) | (sizes == 1)), depth + 1)
+            else:
+                note(np.flatnonzero(equal & (mass >= bounds[depth + 1])), depth + 1)
+            more = (sizes > 1) if suffixes else np.ones(len(sizes), dtype=bool)
+            if not deepest:
+                waiting.append(only(equal & ~ended & more & (mass >= bounds[depth + 2])))
+            pointers, key, weights, sizes, places = only(~equal & more & (mass >= bounds[depth + 1]))
+        if deepest or not waiting:
+            break
+        pointers, key, weights, sizes, places = (np.concatenate(c) for c in zip(*waiting, strict=True))
     if not found:
         return Parts(*[np.zeros(0, dtype=np.int64)] * 3)
     place, depth, pointer, mass = (np.concatenate(c) for c in zip(*found, strict=True))
@@ -103,75 +129,94 @@ def multikey_quicksort(
     return Parts(depth[order], pointer[order], mass[order])
 
 
+def _unchecked(values: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return pc.cast(values, options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
+
+
+def _numbered(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of texts, and the distinct ones."""
+    coded = values.dictionary_encode()
+    distinct = np.empty(len(coded.dictionary), dtype=object)
+    distinct[:] = coded.dictionary.cast(pa.binary()).to_pylist()
+    return coded.indices.to_numpy(zero_copy_only=False), distinct
+
+
 class Block:
-    """Words of documents as numbers, with the language and the ends of pieces."""
+    """Texts with their languages, and the number of words at the end of each that begin no suffix here."""
 
     def __init__(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.langs: dict[str, int] = {}
-        self.codes: list[np.ndarray] = []
-        self.lang: list[np.ndarray] = []
-        self.begins: list[np.ndarray] = []
+        self.texts: list[bytes] = []
+        self.langs: list[str] = []
+        self.idle: list[int] = []
         self.size = 0
 
-    def add(self, lang: str, tokens: list[bytes], beginning: int | None = None) -> None:
-        """Words and marks of a text; only the first ``beginning`` ones begin a suffix."""
-        words = self.words
-        codes = np.fromiter((words.setdefault(t, len(words)) for t in [*tokens, b"."]), np.int32, len(tokens) + 1)
-        self.codes.append(codes)
-        self.lang.append(np.full(len(codes), self.langs.setdefault(lang, len(self.langs)), dtype=np.int32))
-        self.begins.append(np.arange(len(codes)) < (len(codes) if beginning is None else beginning))
-        self.size += len(tokens)
-
-    def sort(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words, languages, and for each distinct suffix (in order) the numbers of language and words, and its count."""
-        words = np.array([*self.words, b""], dtype=object)  # the last one stands for ENDED
-        mark = np.array([w[:1] in MARKS for w in words[:-1]], dtype=bool)
-        codes = np.concatenate(self.codes)
-        codes[mark[codes]] = ENDED
-        at = np.flatnonzero((codes != ENDED) & np.concatenate(self.begins))
-        rows = [np.concatenate(self.lang)[at], codes[at]]
-        codes = np.concatenate([codes, np.full(LONGEST, ENDED, dtype=np.int32)])
+    def add(self, lang: str, text: bytes, idle: int = 0) -> None:
+        self.texts.append(text.translate(PLAIN).replace(MARK, b" " + MARK + b" ") + b" " + MARK)
+        self.langs.append(lang)
+        self.idle.append(idle)
+        self.size += len(text)
+
+    def sort(self, routes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words, languages, and for each distinct suffix its count and the numbers of language, route and words, in order."""
+        split = pc.ascii_split_whitespace(_unchecked(pa.array(self.texts, pa.binary())))
+        codes, words = _numbered(split.flatten())
+        langs = list(dict.fromkeys(self.langs))
+        lengths = split.value_lengths().to_numpy(zero_copy_only=False)
+        lang = np.repeat(np.array([langs.index(x) for x in self.langs]), lengths)
+        # the mark at the end comes after the words that begin nothing
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes)) - 1
+        begins = left > np.repeat(self.idle, lengths)
+        real = words[codes] != b""
+        codes, lang, begins = codes[real], lang[real], begins[real]
+        codes = np.where((words == MARK)[codes], ENDED, codes)
+        at = np.flatnonzero((codes != ENDED) & begins)
+        codes = np.concatenate([codes, np.full(LONGEST, ENDED)])
+        route = np.array([zlib.crc32(w) % routes for w in words.tolist()], dtype=np.int64)
+        rows = [lang[at], route[codes[at]], codes[at]]
         for k in range(1, LONGEST):
             rows.append(np.where(rows[-1] == ENDED, ENDED, codes[at + k]))
+        # dealt by language, route and first word, sorted by the others
+        first = (rows[0] * routes + rows[1]) * len(words) + rows[2]
+        order = np.argsort(first, kind="stable")
+        sizes = np.diff(np.append(_runs(first[None, order]), len(order)))
         keys = np.stack(rows)
-        parts = multikey_quicksort(lambda p, d: keys[d, p], len(at), LONGEST + 1)
-        whole = (parts.depth == LONGEST + 1) | (keys[parts.depth - 1, parts.pointer] == ENDED)
-        return words, np.array(list(self.langs), dtype=object), keys[:, parts.pointer[whole]], parts.weight[whole]
+        parts = multikey_quicksort([k.astype(np.int32).take for k in rows[3:]], order, sizes, suffixes=True)
+        # the last word stands for ENDED
+        return np.append(words, b""), np.array(langs, dtype=object), keys[:, parts.pointer], parts.weight
 
 
 def filled(texts: Iterable[tuple[str, bytes]], size: int) -> Iterator[Block]:
-    """Blocks of some ``size`` words of the texts. Where a text is cut, the words of a phrase from there on are looked
-    at in both blocks and begin suffixes in the second."""
+    """Blocks of some ``size`` bytes of texts. Where a text is cut, between words, the words of a phrase from there on
+    are looked at in both blocks and begin suffixes in the second."""
     block = Block()
     for lang, text in texts:
-        data, at, tokens = text.lower(), 0, []  # only A-Z, as these are bytes
-        while at < len(data):
-            # some megabytes at a time, up to the end of a token
-            after = TOKEN.search(data, at + (4 << 20))
-            end = after.end() if after else len(data)
-            tokens += TOKEN.findall(data, at, end)
+        at = 0
+        while at < len(text):
+            after = BREAK.search(text, at + max(1, size - block.size))
+            end = after.start() if after else len(text)
+            ahead, to = [], end
+            while len(ahead) < LONGEST - 1 and (token := TOKEN.search(text, to)):
+                ahead.append(token.group())
+                to = token.end()
+            block.add(lang, text[at:end] + b" " + b" ".join(ahead), len(ahead))
             at = end
-            while len(tokens) >= size + LONGEST:
-                block.add(lang, tokens[: size + LONGEST - 1], size)
-                tokens = tokens[size:]
+            if block.size >= size:
                 yield block
                 block = Block()
-        block.add(lang, tokens)
-        if block.size >= size:
-            yield block
-            block = Block()
-    if block.size:
+    if block.texts:
         yield block
 
 
+# suffixes of a route, or (without ``following``) the number of them that begin with a word or pair of words
 SUFFIXES = pa.schema([
-    ("lang", pa.string()), ("first", pa.binary()), ("second", pa.binary()), ("weight", pa.int64()),
-    ("n_rows", pa.int64()), ("following", pa.binary())])
+    ("lang", pa.string()), ("route", pa.int64()), ("weight", pa.int64()), ("n_rows", pa.int64()),
+    ("following", pa.binary()), ("first", pa.binary()), ("second", pa.binary())])
 ROUTED = pa.schema([
-    ("lang", pa.string()), ("first", pa.binary()), ("route", pa.int64()), ("n_rows", pa.int64()), ("following", pa.binary())])
+    ("lang", pa.string()), ("kind", pa.int32()), ("route", pa.int64()), ("n_rows", pa.int64()), ("following", pa.binary())])
 COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("count", pa.int64())])
-ROW = 10_000  # suffixes written in one row
+ROW = 500  # suffixes written in one row, so that Arrow's batches of rows stay small
+# Kinds of routes: by the first word; of a heavy word, by the second; of a heavy pair, by the third.
+BY_FIRST, BY_SECOND, BY_THIRD = range(3)
 
 
 def _runs(keys: np.ndarray, most: int | None = None) -> np.ndarray:
@@ -185,22 +230,34 @@ def _runs(keys: np.ndarray, most: int | None = None) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _packed(second: np.ndarray, third: np.ndarray, weight: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+def _packed(words: list[np.ndarray], weight: np.ndarray, cuts: np.ndarray) -> list[bytes]:
     """The suffixes of each stretch from one cut to the next as words and counts, blanks between them."""
-    flat = np.empty((len(second), 3), dtype=object)
-    flat[:, 0], flat[:, 1] = second, third
-    flat[:, 2] = [b"%d" % w for w in weight.tolist()]
-    return [b" ".join(flat[a:b].ravel().tolist()) for a, b in zip(cuts, [*cuts[1:], len(second)], strict=True)]
+    flat = np.empty((len(weight), FIELDS), dtype=object)
+    for k, column in enumerate(words):
+        flat[:, k] = column
+    flat[:, LONGEST] = DIGITS[np.minimum(weight, len(DIGITS) - 1)]
+    for k in np.flatnonzero(weight >= len(DIGITS)).tolist():
+        flat[k, LONGEST] = b"%d" % weight[k]
+    fields = flat.ravel().tolist()
+    ends = [*cuts[1:].tolist(), len(weight)]
+    return [b" ".join(fields[FIELDS * a : FIELDS * b]) for a, b in zip(cuts.tolist(), ends, strict=True)]
 
 
-def _unpacked(following: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray]:
-    fields = b" ".join(following).split(b" ")
-    return fields[0::3], fields[1::3], np.array(fields[2::3], dtype="S20").astype(np.int64)
+FIELDS = LONGEST + 1
+DIGITS = np.array([b"%d" % n for n in range(1000)], dtype=object)
 
 
-def sorted_suffixes(docs: DataFrame, size: int = BLOCK) -> DataFrame:
-    """Equal suffixes of blocks of documents (``lang, text``): one row per first word with the following words. Rows with
-    ``second`` count the rows of a pair of words that has many in its block."""
+def _unpacked(following: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Numbers of the words of suffixes (``ENDED`` for none), weights, and the words."""
+    codes, words = _numbered(pc.split_pattern(_unchecked(following), " ").flatten())
+    digits, place = np.unique(codes[LONGEST::FIELDS], return_inverse=True)
+    codes = np.where((words == b"")[codes], ENDED, codes).astype(np.int32)
+    return [codes[k::FIELDS] for k in range(LONGEST)], words[digits].astype("S20").astype(np.int64)[place], words
+
+
+def sorted_suffixes(docs: DataFrame, routes: int, size: int = BLOCK) -> DataFrame:
+    """Equal suffixes of blocks of documents (``lang, text``), a row for each route. Rows without ``following`` count the
+    suffixes of a word, or of a pair of words, that has many in its block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def texts() -> Iterator[tuple[str, bytes]]:
@@ -208,139 +265,164 @@ def sorted_suffixes(docs: DataFrame, size: int = BLOCK) -> DataFrame:
                 yield from zip(batch.column("lang").to_pylist(), binaries(batch.column("text")), strict=True)
 
         for block in filled(texts(), size):
-            words, langs, keys, weight = block.sort()
+            words, langs, keys, weight = block.sort(routes)
+            if not len(weight):
+                continue
             cuts = _runs(keys[:2], ROW)
-            sizes = np.diff(np.append(cuts, len(weight)))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(langs[keys[0, cuts]], pa.string()), pa.array(words[keys[1, cuts]], pa.binary()),
-                pa.nulls(len(cuts), pa.binary()), pa.array(np.add.reduceat(weight, cuts)), pa.array(sizes),
-                pa.array(_packed(words[keys[2]], words[keys[3]], weight, cuts), pa.binary()),
-            ], schema=SUFFIXES)
-            pairs = _runs(keys[:3])
-            sizes = np.diff(np.append(pairs, len(weight)))
-            many = sizes * 2 * SHARE >= len(weight)
-            pairs, sizes = pairs[many], sizes[many]
+            nothing = pa.nulls(len(cuts), pa.binary())
             yield pa.RecordBatch.from_arrays([
-                pa.array(langs[keys[0, pairs]], pa.string()), pa.array(words[keys[1, pairs]], pa.binary()),
-                pa.array(words[keys[2, pairs]], pa.binary()), pa.array(np.zeros(len(pairs), dtype=np.int64)),
-                pa.array(sizes), pa.nulls(len(pairs), pa.binary()),
-            ], schema=SUFFIXES)
+                pa.array(langs[keys[0, cuts]], pa.string()), pa.array(keys[1, cuts]), pa.array(np.add.reduceat(weight, cuts)),
+                pa.array(np.diff(np.append(cuts, len(weight)))),
+                pa.array(_packed([words[k] for k in keys[2:]], weight, cuts), pa.binary()), nothing, nothing], schema=SUFFIXES)
+            for of in (3, 4):
+                starts = _runs(keys[:of])
+                n = np.diff(np.append(starts, len(weight)))
+                many = n * 2 * SHARE >= len(weight)
+                at, nothing = starts[many], pa.nulls(int(many.sum()), pa.binary())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(langs[keys[0, at]], pa.string()), pa.array(keys[1, at]), pa.array(np.zeros(len(at), dtype=np.int64)),
+                    pa.array(n[many]), nothing, pa.array(words[keys[2, at]], pa.binary()),
+                    pa.array(words[keys[3, at]], pa.binary()) if of == 4 else nothing], schema=SUFFIXES)
             trim()
 
     return docs.select("lang", "text").mapInArrow(run, from_arrow_schema(SUFFIXES))
 
 
-def routed(suffixes: DataFrame, firsts: DataFrame, route: int = ROUTE) -> DataFrame:
-    """The suffixes with the route of each: 0 where the first word has few rows; else by the second word, and for heavy
-    pairs by the second and third (routes below 0, whose pairs are counted in several routes).
+def routed(suffixes: DataFrame, route: int = ROUTE) -> DataFrame:
+    """The suffixes with the route of each: by the first word; where that has many, by the second; and where a pair has
+    many, by the third, so that such pairs are counted in several routes.
 
-    Of the heavy beginnings that are sent to all tasks there are at most ``SHARE`` words and 2 ``SHARE`` pairs."""
-    total = firsts.agg(F.sum("n_rows")).first()[0] or 0
+    What blocks don't report of a beginning is less than half of the limit in all, so the lists hold every beginning above
+    the limit, and at most 2 ``SHARE`` words and as many pairs."""
+    total = suffixes.where("following is not null").agg(F.sum("n_rows")).first()[0] or 0
     limit = max(route, total // SHARE)
-    spark = suffixes.sparkSession
-    heavy = firsts.where(F.col("n_rows") > limit).select(
-        "lang", "first", F.ceil(F.col("n_rows") / limit).alias("routes"))
-    # what a block doesn't report of a pair is less than half of the limit in all
-    pairs = {
-        (r["lang"], bytes(r["first"]), bytes(r["second"]))
-        for r in suffixes.where("second is not null").groupBy("lang", "first", "second")
-        .agg(F.sum("n_rows").alias("n_rows")).where(F.col("n_rows") * 2 >= limit).collect()
-    }
-    words = [tuple(r) for r in heavy.collect()]
-    rows = suffixes.where("second is null").select("lang", "first", "n_rows", "following")
-    few = rows.withColumn("route", F.lit(0).cast("long"))
-    if not words:
-        return few.select(*ROUTED.names)
-    listed = F.broadcast(spark.createDataFrame(words, "lang string, first binary, routes long"))
+    reported = suffixes.where("following is null").groupBy("lang", "route", "first", "second").agg(F.sum("n_rows").alias("n_rows"))
+    heavy = reported.where(F.col("n_rows") * 2 >= limit).collect()
+    pairs = {(r.lang, bytes(r.first), bytes(r.second)) for r in heavy if r.second is not None}
+    routes = {(r.lang, bytes(r.first)): -(-2 * r.n_rows // limit) for r in heavy if r.second is None}
+    rows = suffixes.where("following is not null").select(
+        "lang", F.lit(BY_FIRST).alias("kind"), "route", "n_rows", "following")
+    if not routes:
+        return rows
+    places = sorted({(r.lang, r.route) for r in heavy})
+    listed = F.broadcast(suffixes.sparkSession.createDataFrame(places, "lang string, route long"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             out = []
             for row in batch.to_pylist():
-                beginning, routes = (row["lang"], row["first"]), row["routes"]
-                second, third, weight = _unpacked([row["following"]])
-                # the end of a piece is no word: it stays with the second word's route
-                by_pair = {w: (*beginning, w) in pairs for w in set(second)}
-                to = np.array([
-                    -1 - zlib.crc32(b, zlib.crc32(a)) % routes if by_pair[a] else zlib.crc32(a) % routes
-                    for a, b in zip(second, third, strict=True)])
-                order = np.argsort(to, kind="stable")
-                cuts = _runs(to[None, order])
-                texts = _packed(np.array([*second, b""], dtype=object)[order], np.array([*third, b""], dtype=object)[order],
-                                weight[order], cuts)
-                sizes = np.diff(np.append(cuts, len(order)))
-                out += [(*beginning, int(to[order[c]]), int(n), t) for c, n, t in zip(cuts, sizes, texts, strict=True)]
+                lang = row["lang"]
+                keys, weight, texts = _unpacked(pa.array([row["following"]], pa.binary()))
+                texts = np.append(texts, b"")
+                sums = np.array([zlib.crc32(t) for t in texts.tolist()])
+                first, second, third = keys
+                several = np.array([routes.get((lang, t), 0) for t in texts.tolist()])[first]
+                kind = np.where(several > 0, BY_SECOND, BY_FIRST)
+                for k in np.flatnonzero((several > 0) & (second != ENDED)).tolist():
+                    if (lang, texts[first[k]], texts[second[k]]) in pairs:
+                        kind[k] = BY_THIRD
+                # a heavy word has routes of its own
+                by = sums[second] + np.where(kind == BY_THIRD, 7 * sums[third], 0)
+                to = np.where(several > 0, sums[first] * 1_000 + by % np.maximum(several, 1), row["route"])
+                order = np.lexsort((to, kind))
+                cuts = _runs(np.stack([kind[order], to[order]]), ROW)
+                following = _packed([texts[k[order]] for k in keys], weight[order], cuts)
+                n = np.diff(np.append(cuts, len(order)))
+                out += [(lang, int(kind[order[c]]), int(to[order[c]]), int(m), t) for c, m, t in zip(cuts, n, following, strict=True)]
             yield pa.RecordBatch.from_pylist([dict(zip(ROUTED.names, o, strict=True)) for o in out], ROUTED)
 
-    apart = rows.join(listed, ["lang", "first"]).mapInArrow(split, from_arrow_schema(ROUTED))
-    return few.join(listed, ["lang", "first"], "left_anti").select(*ROUTED.names).unionByName(apart)
-
-
-def counted(routed_rows: DataFrame, least: int = LEAST, size: int = BLOCK) -> DataFrame:
-    """``lang, phrase, count`` of phrases of two and three words; parts of a count may come from several blocks."""
-    pair, triple = 3, 4  # equal keys: language and words
-    usual = (1, 1, 1, least, least)
-    several = (1, 1, 1, 1, least)  # pairs that other routes count as well
-    cut = (1, 1, 1, 1, 1)
-
-    def count(rows: list[tuple], bounds: tuple[int, ...]) -> pa.RecordBatch:
-        second, third, weight = _unpacked([r[4] for r in rows])
-        rows_of = np.repeat(np.arange(len(rows)), [r[3] for r in rows])
-        keys = []
-        for values in ([r[0] for r in rows], [r[1] for r in rows]):
-            numbers: dict = {}
-            keys.append(np.array([numbers.setdefault(v, len(numbers)) for v in values])[rows_of])
-        for values in (second, third):
-            numbers = {b"": ENDED}
-            keys.append(np.fromiter((numbers.setdefault(v, len(numbers)) for v in values), np.int64, len(values)))
-        table = np.stack(keys).astype(np.int32)
-        parts = multikey_quicksort(lambda p, d: table[d, p], len(weight), triple, weight, bounds)
+    apart = rows.join(listed, ["lang", "route"]).select(*ROUTED.names).mapInArrow(split, from_arrow_schema(ROUTED))
+    return rows.join(listed, ["lang", "route"], "left_anti").select(*ROUTED.names).unionByName(apart)
+
+
+def counted(routed_rows: DataFrame, least: int = LEAST, size: int = BLOCK // 6) -> DataFrame:
+    """``lang, phrase, count`` of phrases of one to three words; parts of a count may come from several blocks."""
+    # least weights of a part with 0, 1, 2, 3 equal words: where a route has all of them, lighter ones are abandoned
+    bounds = {
+        BY_FIRST: (1, least, least, least), BY_SECOND: (1, 1, least, least), BY_THIRD: (1, 1, 1, least), None: (1, 1, 1, 1)}
+
+    def count(rows: pa.Table, continued: bool) -> pa.RecordBatch:
+        lang, kind, sizes = (rows.column(c).to_numpy() for c in ("lang", "kind", "n_rows"))
+        keys, weight, words = _unpacked(rows.column("following").combine_chunks())
+        lang = np.repeat(lang, sizes)
+        parts = multikey_quicksort(
+            [k.take for k in keys], np.arange(len(weight)), np.add.reduceat(sizes, np.flatnonzero(_borders(rows))), weight,
+            bounds[None if continued else kind[0]])
+        last = np.stack(keys)[parts.depth - 1, parts.pointer]
         out: tuple[list, list, list] = ([], [], [])
-        for depth, p, w in zip(*(a.tolist() for a in parts), strict=True):
-            if depth >= pair and table[depth - 1, p] != ENDED:
-                row = rows[rows_of[p]]
-                out[0].append(row[0])
-                out[1].append(b" ".join((row[1], second[p], third[p])[: depth - 1]))
-                out[2].append(w)
+        first, second, third = (words[k] for k in keys)
+        for depth, p, w in zip(*(a[last != ENDED].tolist() for a in parts), strict=True):
+            out[0].append(lang[p])
+            out[1].append(b" ".join((first[p], second[p], third[p])[:depth]))
+            out[2].append(w)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, COUNTED.types, strict=True)], schema=COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        n, route, divided = 0, None, False
+        held: list[pa.RecordBatch] = []
+        n, cut = 0, None  # the route that the block before was cut in
         for batch in small(batches):
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                now, split = row[:3], row[2] < 0
-                new = now != route
-                if held and (n >= size and new or n >= 2 * size or new and split != (route[2] < 0)):
-                    divided = divided or not new
-                    yield count(held, cut if divided else several if route[2] < 0 else usual)
-                    # a route that goes on makes the next block a divided one, too
-                    held, n, divided = [], 0, not new
-                    trim()
-                held.append(row)
-                n += row[3]
-                route = now
-        if held:
-            yield count(held, cut if divided else several if route[2] < 0 else usual)
-
-    dealt = routed_rows.select(*ROUTED.names).repartition("lang", "first", "route")
-    return dealt.sortWithinPartitions(F.col("route") < 0, "lang", "first", "route").mapInArrow(run, from_arrow_schema(COUNTED))
+            held.append(batch)
+            n += pc.sum(batch.column("n_rows")).as_py()
+            if n < size:
+                continue
+            rows = pa.Table.from_batches(held)
+            # up to the last route that begins here; a route that fills two blocks is cut
+            last = int(np.flatnonzero(_borders(rows))[-1])
+            end = last if last else rows.num_rows if n >= 2 * size else 0
+            if not end:
+                continue
+            for part in _by_kind(rows.slice(0, end)):
+                yield count(part, _route(part, 0) == cut or not last)
+            cut = None if last else _route(rows, 0)
+            held = rows.slice(end).to_batches()
+            n = sum(pc.sum(b.column("n_rows")).as_py() for b in held)
+            trim()
+        if n:
+            for part in _by_kind(pa.Table.from_batches(held)):
+                yield count(part, _route(part, 0) == cut)
+
+    rows = routed_rows.repartition("lang", "kind", "route")
+    # by kind and route, as one number, which is sorted faster than texts
+    place = F.shiftrightunsigned(F.xxhash64("lang", "route"), 3) + F.col("kind") * F.lit(1 << 61)
+    return rows.sortWithinPartitions(place, "kind", "lang", "route").mapInArrow(run, from_arrow_schema(COUNTED))
+
+
+def _route(rows: pa.Table, at: int) -> tuple:
+    return tuple(rows.column(c)[at].as_py() for c in ("lang", "kind", "route"))
+
+
+def _borders(rows: pa.Table) -> np.ndarray:
+    """Where a route begins."""
+    new = np.ones(rows.num_rows, dtype=bool)
+    new[1:] = False
+    for c in ("lang", "kind", "route"):
+        values = rows.column(c).combine_chunks()
+        new[1:] |= pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)
+    return new
+
+
+def _by_kind(rows: pa.Table) -> Iterator[pa.Table]:
+    """The rows of each kind of routes, which come one after the other."""
+    ends = np.cumsum(np.bincount(rows.column("kind").to_numpy(), minlength=3)).tolist()
+    for start, end in zip([0, *ends], ends, strict=False):
+        if end > start:
+            yield rows.slice(start, end - start)
 
 
 def phrase_counts(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, size: int = BLOCK, route: int = ROUTE,
 ) -> tuple[DataFrame, DataFrame]:
-    """Counts of single words, and of phrases of two and three words that occur ``least`` times: ``lang, phrase, count``."""
+    """Words of each language (``lang, n``), and the phrases of one to three words that occur ``least`` times
+    (``lang, phrase, count``)."""
     rows = pick(docs, lang_col, text_col).toDF("lang", "text").where("text is not null")
     rows = rows.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    suffixes = staged(sorted_suffixes(rows, size), "suffixes")
-    firsts = staged(
-        suffixes.where("second is null").groupBy("lang", "first")
-        .agg(F.sum("weight").alias("weight"), F.sum("n_rows").alias("n_rows")), "first-words")
-    phrases = counted(routed(suffixes, firsts, route), least, size).groupBy("lang", F.col("phrase").cast("string").alias("phrase"))
-    phrases = staged(phrases.agg(F.sum("count").alias("count")).where(F.col("count") >= least), "phrases")
-    words = firsts.select("lang", F.col("first").cast("string").alias("phrase"), F.col("weight").alias("count"))
-    return words, phrases
+    # routes of a quarter of a block
+    letters = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    suffixes = staged(sorted_suffixes(rows, 4 * (letters // size + 1), size), "suffixes")
+    totals = suffixes.groupBy("lang").agg(F.sum("weight").alias("n"))
+    parts = counted(routed(suffixes, route), least, max(1, size // 6))
+    phrases = parts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("count").alias("count"))
+    return totals, staged(phrases.where(F.col("count") >= least), "phrases")
 
 
 def collocations(
@@ -353,11 +435,10 @@ def collocations(
     floor(1000000 a a / (l r)); ``n`` the words of the language. A phrase is left out where one of a word more holds
     it in at least ``held`` percent of its occurrences.
     """
-    words, phrases = phrase_counts(docs, lang_col, text_col, least, size, route)
-    totals = words.groupBy("lang").agg(F.sum("count").alias("n"))
-    # every part of a phrase occurs at least as often as the phrase
-    counts = words.where(F.col("count") >= least).unionByName(phrases)
+    # every part of a phrase occurs at least as often as the phrase, so its count is there
+    totals, counts = phrase_counts(docs, lang_col, text_col, least, size, route)
     word = F.split("phrase", " ")
+    phrases = counts.where(F.size(word) > 1)
     cut = F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda k: F.struct(
         k.alias("k"), F.array_join(F.slice("words", F.lit(1), k), " ").alias("left"),
         F.array_join(F.slice("words", k + 1, F.size("words") - k), " ").alias("right"))))
@@ -390,7 +471,8 @@ with pieces as (
     select coalesce(lang, 'und') as lang,
            unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                      '[.,;:!?
--]')) as piece
+-
+]')) as piece
     from documents where text is not null),
 split as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
 spans as (

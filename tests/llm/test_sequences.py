@@ -59,7 +59,7 @@ def as_set(df):
     return {(r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in df.collect()}
 
 
-@pytest.mark.parametrize("size, route", [(1 << 19, 200_000), (300, 40), (37, 5)])
+@pytest.mark.parametrize("size, route", [(3 << 20, 200_000), (900, 40), (90, 5)])
 def test_collocations(spark, size, route, monkeypatch):
     monkeypatch.setattr(col, "SHARE", 20 if route < 100 else col.SHARE)
     rng = random.Random(size)
@@ -85,16 +85,20 @@ def test_quicksort_sizes():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 4, (3, 500))
     weight = rng.integers(1, 4, 500)
+    cut = np.array([200, 300])  # two parts, each sorted by itself
     for least in (None, (1, 20, 20, 20)):
-        parts = col.multikey_quicksort(lambda p, d: keys[d, p], 500, 3, weight, least)
-        got = {tuple(keys[:d, p].tolist()): w for d, p, w in zip(*parts, strict=True)}
+        parts = col.multikey_quicksort([k.take for k in keys], np.arange(500), cut, weight, least)
+        got = {(p >= 200, *keys[:d, p].tolist()): w for d, p, w in zip(*parts, strict=True)}
         counts = Counter()
         for p in range(500):
             for d in (1, 2, 3):
-                counts[tuple(keys[:d, p].tolist())] += int(weight[p])
+                counts[(p >= 200, *keys[:d, p].tolist())] += int(weight[p])
         assert got == {k: c for k, c in counts.items() if least is None or c >= 20}
-        order = [tuple(keys[:d, p].tolist()) for d, p, _ in zip(*parts, strict=True)]
+        order = [(p >= 200, *keys[:d, p].tolist()) for d, p, _ in zip(*parts, strict=True)]
         assert order == sorted(order)
+    whole = col.multikey_quicksort([k.take for k in keys], np.arange(500), cut, suffixes=True)
+    assert [(p >= 200, *keys[:, p].tolist()) for p in whole.pointer] == sorted(c for c in counts if len(c) == 4)
+    assert whole.weight.sum() == 500
 
 
 def test_collocations_exact_beyond_64_bits(spark):
