@@ -38,7 +38,8 @@ from grantflow.llm.common import binaries, pick, small, staged, trim
 LONGEST = 3  # words of a phrase
 LEAST = 10  # occurrences of a phrase
 TOP = 2000  # phrases of a language
-BLOCK = 3 << 20  # bytes of text sorted at once; a sixth as many suffixes of routes
+BLOCK = 2 << 20  # bytes of text sorted at once; a sixth as many suffixes of routes
+ROUTES = 1024  # shares of the first words in which a block is written
 ROUTE = 200_000  # rows of one first word, or pair of words, that one route may hold
 SHARE = 10_000  # ... or this part of all rows, so that the lists of heavy beginnings stay bounded
 MARK = b"."  # all marks that end a piece
@@ -162,25 +163,25 @@ class Block:
         codes, words = _numbered(split.flatten())
         langs = list(dict.fromkeys(self.langs))
         lengths = split.value_lengths().to_numpy(zero_copy_only=False)
-        lang = np.repeat(np.array([langs.index(x) for x in self.langs]), lengths)
+        lang = np.repeat(np.array([langs.index(x) for x in self.langs], dtype=np.int32), lengths)
         # the mark at the end comes after the words that begin nothing
         left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes)) - 1
         begins = left > np.repeat(self.idle, lengths)
         real = words[codes] != b""
         codes, lang, begins = codes[real], lang[real], begins[real]
-        codes = np.where((words == MARK)[codes], ENDED, codes)
+        codes = np.where((words == MARK)[codes], ENDED, codes).astype(np.int32)
         at = np.flatnonzero((codes != ENDED) & begins)
-        codes = np.concatenate([codes, np.full(LONGEST, ENDED)])
-        route = np.array([zlib.crc32(w) % routes for w in words.tolist()], dtype=np.int64)
+        codes = np.concatenate([codes, np.full(LONGEST, ENDED, dtype=np.int32)])
+        route = np.array([zlib.crc32(w) % routes for w in words.tolist()], dtype=np.int32)
         rows = [lang[at], route[codes[at]], codes[at]]
         for k in range(1, LONGEST):
             rows.append(np.where(rows[-1] == ENDED, ENDED, codes[at + k]))
         # dealt by language, route and first word, sorted by the others
-        first = (rows[0] * routes + rows[1]) * len(words) + rows[2]
+        first = (rows[0].astype(np.int64) * routes + rows[1]) * len(words) + rows[2]
         order = np.argsort(first, kind="stable")
         sizes = np.diff(np.append(_runs(first[None, order]), len(order)))
         keys = np.stack(rows)
-        parts = multikey_quicksort([k.astype(np.int32).take for k in rows[3:]], order, sizes, suffixes=True)
+        parts = multikey_quicksort([k.take for k in rows[3:]], order, sizes, suffixes=True)
         # the last word stands for ENDED
         return np.append(words, b""), np.array(langs, dtype=object), keys[:, parts.pointer], parts.weight
 
@@ -255,7 +256,7 @@ def _unpacked(following: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.nda
     return [codes[k::FIELDS] for k in range(LONGEST)], words[digits].astype("S20").astype(np.int64)[place], words
 
 
-def sorted_suffixes(docs: DataFrame, routes: int, size: int = BLOCK) -> DataFrame:
+def sorted_suffixes(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     """Equal suffixes of blocks of documents (``lang, text``), a row for each route. Rows without ``following`` count the
     suffixes of a word, or of a pair of words, that has many in its block."""
 
@@ -265,7 +266,7 @@ def sorted_suffixes(docs: DataFrame, routes: int, size: int = BLOCK) -> DataFram
                 yield from zip(batch.column("lang").to_pylist(), binaries(batch.column("text")), strict=True)
 
         for block in filled(texts(), size):
-            words, langs, keys, weight = block.sort(routes)
+            words, langs, keys, weight = block.sort(ROUTES)
             if not len(weight):
                 continue
             cuts = _runs(keys[:2], ROW)
@@ -288,9 +289,10 @@ def sorted_suffixes(docs: DataFrame, routes: int, size: int = BLOCK) -> DataFram
     return docs.select("lang", "text").mapInArrow(run, from_arrow_schema(SUFFIXES))
 
 
-def routed(suffixes: DataFrame, route: int = ROUTE) -> DataFrame:
+def routed(suffixes: DataFrame, route: int = ROUTE, size: int = BLOCK // 6) -> DataFrame:
     """The suffixes with the route of each: by the first word; where that has many, by the second; and where a pair has
-    many, by the third, so that such pairs are counted in several routes.
+    many, by the third, so that such pairs are counted in several routes. Where the shares of the first words are larger
+    than half a block of ``size``, they are dealt to more routes.
 
     What blocks don't report of a beginning is less than half of the limit in all, so the lists hold every beginning above
     the limit, and at most 2 ``SHARE`` words and as many pairs."""
@@ -302,7 +304,8 @@ def routed(suffixes: DataFrame, route: int = ROUTE) -> DataFrame:
     routes = {(r.lang, bytes(r.first)): -(-2 * r.n_rows // limit) for r in heavy if r.second is None}
     rows = suffixes.where("following is not null").select(
         "lang", F.lit(BY_FIRST).alias("kind"), "route", "n_rows", "following")
-    if not routes:
+    shares = -(-2 * total // (ROUTES * size))
+    if not routes and shares <= 1:
         return rows
     places = sorted({(r.lang, r.route) for r in heavy})
     listed = F.broadcast(suffixes.sparkSession.createDataFrame(places, "lang string, route long"))
@@ -322,8 +325,9 @@ def routed(suffixes: DataFrame, route: int = ROUTE) -> DataFrame:
                     if (lang, texts[first[k]], texts[second[k]]) in pairs:
                         kind[k] = BY_THIRD
                 # a heavy word has routes of its own
+                usual = row["route"] + ROUTES * (sums[first] // ROUTES % max(1, shares))
                 by = sums[second] + np.where(kind == BY_THIRD, 7 * sums[third], 0)
-                to = np.where(several > 0, sums[first] * 1_000 + by % np.maximum(several, 1), row["route"])
+                to = np.where(several > 0, sums[first] * 1_000 + by % np.maximum(several, 1), usual)
                 order = np.lexsort((to, kind))
                 cuts = _runs(np.stack([kind[order], to[order]]), ROW)
                 following = _packed([texts[k[order]] for k in keys], weight[order], cuts)
@@ -331,6 +335,8 @@ def routed(suffixes: DataFrame, route: int = ROUTE) -> DataFrame:
                 out += [(lang, int(kind[order[c]]), int(to[order[c]]), int(m), t) for c, m, t in zip(cuts, n, following, strict=True)]
             yield pa.RecordBatch.from_pylist([dict(zip(ROUTED.names, o, strict=True)) for o in out], ROUTED)
 
+    if shares > 1:
+        return rows.mapInArrow(split, from_arrow_schema(ROUTED))
     apart = rows.join(listed, ["lang", "route"]).select(*ROUTED.names).mapInArrow(split, from_arrow_schema(ROUTED))
     return rows.join(listed, ["lang", "route"], "left_anti").select(*ROUTED.names).unionByName(apart)
 
@@ -344,18 +350,17 @@ def counted(routed_rows: DataFrame, least: int = LEAST, size: int = BLOCK // 6)
     def count(rows: pa.Table, continued: bool) -> pa.RecordBatch:
         lang, kind, sizes = (rows.column(c).to_numpy() for c in ("lang", "kind", "n_rows"))
         keys, weight, words = _unpacked(rows.column("following").combine_chunks())
-        lang = np.repeat(lang, sizes)
+        rows_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         parts = multikey_quicksort(
             [k.take for k in keys], np.arange(len(weight)), np.add.reduceat(sizes, np.flatnonzero(_borders(rows))), weight,
             bounds[None if continued else kind[0]])
-        last = np.stack(keys)[parts.depth - 1, parts.pointer]
-        out: tuple[list, list, list] = ([], [], [])
-        first, second, third = (words[k] for k in keys)
-        for depth, p, w in zip(*(a[last != ENDED].tolist() for a in parts), strict=True):
-            out[0].append(lang[p])
-            out[1].append(b" ".join((first[p], second[p], third[p])[:depth]))
-            out[2].append(w)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, COUNTED.types, strict=True)], schema=COUNTED)
+        numbers = np.stack([k[parts.pointer] for k in keys], axis=1)
+        real = numbers[np.arange(len(numbers)), parts.depth - 1] != ENDED
+        names = words[numbers[real]].tolist()
+        return pa.RecordBatch.from_arrays([
+            pa.array(lang[rows_of[parts.pointer[real]]], pa.string()),
+            pa.array([b" ".join(n[:d]) for n, d in zip(names, parts.depth[real].tolist(), strict=True)], pa.binary()),
+            pa.array(parts.weight[real])], schema=COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -416,11 +421,9 @@ def phrase_counts(
     (``lang, phrase, count``)."""
     rows = pick(docs, lang_col, text_col).toDF("lang", "text").where("text is not null")
     rows = rows.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    # routes of a quarter of a block
-    letters = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    suffixes = staged(sorted_suffixes(rows, 4 * (letters // size + 1), size), "suffixes")
+    suffixes = staged(sorted_suffixes(rows, size), "suffixes")
     totals = suffixes.groupBy("lang").agg(F.sum("weight").alias("n"))
-    parts = counted(routed(suffixes, route), least, max(1, size // 6))
+    parts = counted(routed(suffixes, route, max(1, size // 6)), least, max(1, size // 6))
     phrases = parts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("count").alias("count"))
     return totals, staged(phrases.where(F.col("count") >= least), "phrases")
 

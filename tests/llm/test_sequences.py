@@ -61,7 +61,9 @@ def as_set(df):
 
 @pytest.mark.parametrize("size, route", [(3 << 20, 200_000), (900, 40), (90, 5)])
 def test_collocations(spark, size, route, monkeypatch):
-    monkeypatch.setattr(col, "SHARE", 20 if route < 100 else col.SHARE)
+    if route < 100:
+        monkeypatch.setattr(col, "SHARE", 20)
+        monkeypatch.setattr(col, "ROUTES", 3 * route // 5)  # few and large, so that they are dealt further
     rng = random.Random(size)
     words = ["the", "The", "of", "harbour", "boat", "é", "日本", "x" * 300, "a|b", "\x00", "\x1c"]
     rows = []
