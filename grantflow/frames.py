@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,3 +23,21 @@ def settled(c: Column) -> Column:
 def let(c: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a column that it mentions several times, computed once per row."""
     return F.get(F.transform(F.array(c), lambda v: use(v)), 0)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back: computed once, whatever is made of it, and not again when executors go."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, below ``spark.checkpoint.dir`` of the session.
+
+    Only where that is unset (a local session, as in tests) it is a folder of this machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        shared = tempfile.mkdtemp(prefix="grantflow-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -40,6 +40,11 @@ def diff_snapshots(old: DataFrame, new: DataFrame, key: str, rev: str) -> DataFr
     return both.select(key, op.alias("op"), "old", "new")
 
 
+def changed_prefixes(old: dict[str, list | None], new: dict[str, list | None]) -> list[str]:
+    """Id prefixes whose rows may differ between two states of a table (rows and hash sums by prefix)."""
+    return sorted(p for p in old.keys() | new.keys() if old.get(p, []) is None or old.get(p) != new.get(p))
+
+
 def event_type(new: Column, old: Column) -> Column:
     """update, create or delete; NULL when there is neither version."""
     return (

@@ -55,24 +55,32 @@ def event_json(kind: Column, previous: Column, current: Column) -> Column:
     )
 
 
+def outcomes(changes: DataFrame, carry: tuple[str, ...] = ("seq", "event_time")) -> DataFrame:
+    """One row per change with all that publishing takes from it, so that a job can store it and judge once: the event's
+    ``detail`` or, with a ``reason``, the ``payload`` for the quarantine; and the malformed fields of both images."""
+    judged = judge_changes(changes)
+    free = F.col("reason").isNull()
+    return judged.select(
+        F.coalesce(F.col("new.grant_id"), F.col("old.grant_id")).alias("key"), "op", "type", "reason",
+        F.when(free, event_json(F.col("type"), F.col("previous"), F.col("current"))).alias("detail"),
+        F.when(~free, F.to_json(F.struct("op", "old", "new"))).alias("payload"),
+        "errors_old", "errors_new", "malformed_old", "malformed_new", *carry)
+
+
+def split_outcomes(
+    judged: DataFrame, source: str = "grantflow", carry: tuple[str, ...] = ("seq", "event_time")
+) -> tuple[DataFrame, DataFrame]:
+    """(events, quarantine) of outcomes."""
+    events = judged.where("reason IS NULL").select(
+        F.lit(source).alias("source"), F.lit(DETAIL_TYPE).alias("detail_type"), "type", "detail", *carry)
+    return events, judged.where("reason IS NOT NULL").select("key", "reason", "errors_new", "payload", *carry)
+
+
 def publishable(
     changes: DataFrame, source: str = "grantflow", carry: tuple[str, ...] = ("seq", "event_time")
 ) -> tuple[DataFrame, DataFrame]:
     """(events, quarantine) of changes (op, old, new, seq, event_time)."""
-    judged = judge_changes(changes)
-    events = judged.where("reason IS NULL").select(
-        F.lit(source).alias("source"),
-        F.lit(DETAIL_TYPE).alias("detail_type"),
-        "type",
-        event_json(F.col("type"), F.col("previous"), F.col("current")).alias("detail"),
-        *carry,
-    )
-    key = F.coalesce(F.col("new.grant_id"), F.col("old.grant_id")).alias("key")
-    payload = F.to_json(F.struct("op", "old", "new")).alias("payload")
-    rejected = judged.where("reason IS NOT NULL").select(
-        key, "reason", "errors_new", payload, *carry
-    )
-    return events, rejected
+    return split_outcomes(outcomes(changes, carry), source, carry)
 
 
 def malformed_counts(judged: DataFrame) -> DataFrame:

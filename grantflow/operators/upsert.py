@@ -103,3 +103,8 @@ def upsert_delta(
 def change_feed(upserted: DataFrame) -> DataFrame:
     """(op, old, new) rows of an upsert made with ``images``."""
     return upserted.where("changed").select("op", "old", "new")
+
+
+def feed_rows(upserted: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows to store of an upsert made with ``images``, with what happened to each and its row before."""
+    return upserted.where("changed").select(*columns, F.col("op").alias("_op"), F.col("old").alias("_old"))

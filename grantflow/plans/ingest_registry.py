@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantflow.frames import stored
 from grantflow.functions.keys import key_problem
 from grantflow.operators.caps import cap_records
 from grantflow.operators.freshness import (
@@ -14,10 +15,10 @@ from grantflow.operators.freshness import (
     outcome_counts,
 )
 from grantflow.operators.metrics import samples
-from grantflow.operators.upsert import upsert_delta
+from grantflow.operators.upsert import feed_rows, upsert_delta
 from grantflow.records import registry_spec
 from grantflow.sources import items, landing
-from grantflow.sources.registry_xml import parse_chunks, read_chunks
+from grantflow.sources.registry_xml import parse_all, parse_results, read_chunks
 
 PLACE = ("file", "split", "ord")
 
@@ -44,18 +45,19 @@ def ingest_registry(
     work: str,
     run_id: str,
     batch_millis: int,
-    version: int,
+    version: int | None = None,
     forecasts: bool = False,
     caps: dict | None = None,
     chunks: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Run one ingest; returns the outcome counts and metric samples as tables.
 
-    The judged records are written once under ``work`` and read back, so the XML is parsed and
-    joined one time however many results are taken from it.
+    The parsed chunks and the judged records are written once under ``work`` and read back, so the XML is parsed and
+    joined one time however many results are taken from it. Of the table only the id prefixes of the batch are read.
     """
+    start = items.next_version(spark, root, version)
     source = chunks if chunks is not None else read_chunks(spark, extracts)
-    records, rejects = parse_chunks(source, forecasts)
+    records, rejects = parse_results(stored(parse_all(source, forecasts), f"{work}/{run_id}/parsed"))
     if caps:
         records = records.withColumn("_kind", F.col("is_forecast").cast("string"))
         records = cap_records(
@@ -63,19 +65,12 @@ def ingest_registry(
             {"false": caps.get("synopsis", -1), "true": caps.get("forecast", -1)},
             "file", "_kind", "ord", F.col("split"),
         ).drop("_kind")
-    if version in items.commits(spark, root):
-        raise ValueError(f"version {version} is committed")
-    previous = items.read_snapshot(spark, root, below=version)
-    if previous is None:
-        previous = items.empty_prepared(spark)
-    previous = previous.drop("id_prefix")
+    previous = items.read_snapshot(spark, root, prefixes=items.prefixes_of(records), last=start[0])
+    previous = items.empty_prepared(spark) if previous is None else previous.drop("id_prefix")
+    judged = stored(judge(records, previous), f"{work}/{run_id}/judged")
 
-    staged = f"{work}/{run_id}/judged"
-    judge(records, previous).write.mode("overwrite").parquet(staged)
-    judged = spark.read.parquet(staged)
-
-    changed = upsert_delta(previous, accept(judged), registry_spec(), F.lit(batch_millis))
-    items.write_delta(changed.drop("changed"), root, version, writer=run_id)
+    changed = upsert_delta(previous, accept(judged), registry_spec(), F.lit(batch_millis), images=True)
+    items.write_delta(feed_rows(changed, previous.columns), root, writer=run_id, start=start)
 
     undecoded = rejects.select(
         F.lit(None).cast("string").alias("key"),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantflow.frames import stored
 from grantflow.functions.keys import key_problem
 from grantflow.operators.freshness import latest_per_key
 from grantflow.operators.metrics import samples, union_samples
 from grantflow.operators.sheet import file_errors, parse_sheet
-from grantflow.operators.upsert import upsert_delta
+from grantflow.operators.upsert import feed_rows, upsert_delta
 from grantflow.records import sheet_spec
 from grantflow.sources import items, landing
 from grantflow.sources.workbooks import read_sheet_cells
@@ -33,22 +34,18 @@ def bill_updates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def ingest_sheet(
     spark: SparkSession, workbooks: str, root: str, work: str, run_id: str,
-    batch_millis: int, version: int,
+    batch_millis: int, version: int | None = None,
 ) -> dict[str, DataFrame]:
+    start = items.next_version(spark, root, version)
     # the cells are written once: a workbook is decoded a single time
-    staged = f"{work}/{run_id}/cells"
-    read_sheet_cells(spark, workbooks).write.mode("overwrite").parquet(staged)
-    cells = spark.read.parquet(staged)
+    cells = stored(read_sheet_cells(spark, workbooks), f"{work}/{run_id}/cells")
     rows, cell_errors = parse_sheet(cells)
     updates, rejects = bill_updates(rows)
 
-    if version in items.commits(spark, root):
-        raise ValueError(f"version {version} is committed")
-    previous = items.read_snapshot(spark, root, below=version)
-    if previous is None:
-        previous = items.empty_prepared(spark)
-    changed = upsert_delta(previous.drop("id_prefix"), updates, sheet_spec(), F.lit(batch_millis))
-    items.write_delta(changed.drop("changed"), root, version, writer=run_id)
+    previous = items.read_snapshot(spark, root, prefixes=items.prefixes_of(updates), last=start[0])
+    previous = items.empty_prepared(spark) if previous is None else previous.drop("id_prefix")
+    changed = upsert_delta(previous, updates, sheet_spec(), F.lit(batch_millis), images=True)
+    items.write_delta(feed_rows(changed, previous.columns), root, writer=run_id, start=start)
 
     place = F.concat_ws(":", "file", "row_idx").alias("seq")
     dead = rejects.select(F.col("grant_id").alias("key"), place, "reason", F.col("Bill").alias("payload"))

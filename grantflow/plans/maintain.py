@@ -15,18 +15,19 @@ class FeedActive(RuntimeError):
 
 
 def purge_table(
-    spark: SparkSession, root: str, version: int, allow_feed: bool = False,
+    spark: SparkSession, root: str, version: int | None = None, allow_feed: bool = False,
     feed_active: bool = False, dry_run: bool = False, **what: bool,
 ) -> DataFrame:
-    """Write a purged snapshot; ``dry_run`` only counts. Refused while the feed is active."""
-    prepared = items.read_snapshot(spark, root).drop("id_prefix")
+    """Write a purged snapshot as the next version; ``dry_run`` only counts. Refused while the feed is active, and where
+    ``version`` isn't the next one: a base below a delta would purge nothing that readers see."""
+    start = items.next_version(spark, root, None if dry_run else version)
+    prepared = items.read_snapshot(spark, root, last=start[0]).drop("id_prefix")
     if dry_run:
         return purge_items(prepared, dry_run=True)
     if feed_active and not allow_feed:
         raise FeedActive("stop publishing first, or pass allow_feed=True")
-    purged = purge_items(prepared, **what)
-    items.write_snapshot(purged, root, version)
-    return items.read_snapshot(spark, root, version)
+    items.write_snapshot(purge_items(prepared, **what), root, start=start)
+    return items.read_snapshot(spark, root, start[1])
 
 
 def purge_listing(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantflow.frames import work_folder
 from grantflow.functions import ulid
 from grantflow.operators import caps, diff, events, freshness, skew, upsert
 from grantflow.queries.base import query, table
@@ -183,6 +184,46 @@ def upsert_delta(spark, folder):
     return items.current_rows(base, first.unionByName(second), "custkey")
 
 
+@query("""
+WITH c AS (
+  SELECT c_custkey AS custkey, c_acctbal AS old, CASE WHEN c_nationkey < 5 THEN round(c_acctbal + 1, 2) ELSE c_acctbal END AS bal,
+         c_mktsegment AS seg, c_nationkey < 5 AS renewed, c_mktsegment <> 'AUTOMOBILE' AS stored,
+         c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') AS partial
+  FROM customer)
+SELECT CAST(2 AS BIGINT) AS version, custkey, CASE WHEN stored THEN 'MODIFY' ELSE 'INSERT' END AS op,
+       CASE WHEN stored THEN old END AS old_balance, bal AS new_balance, CASE WHEN stored THEN seg END AS old_segment,
+       seg AS new_segment
+FROM c WHERE renewed
+UNION ALL
+SELECT CAST(3 AS BIGINT), custkey, CASE WHEN stored OR renewed THEN 'MODIFY' ELSE 'INSERT' END,
+       CASE WHEN stored OR renewed THEN bal END, bal, CASE WHEN stored OR renewed THEN seg END, 'PARTIAL'
+FROM c WHERE partial
+""")
+def feed_events(spark, folder):
+    """A table of a base and two commits; the feed of the commits, from their deltas alone."""
+    names = ("custkey", "c_name", "c_acctbal", "c_mktsegment")
+    spec = RecordSpec(key="custkey", attrs=names[1:])
+    everyone = table(spark, folder, "customer").withColumnRenamed("c_custkey", "custkey")
+    root, schema = work_folder(spark, "feed"), everyone.select(*names).schema
+    items.write_snapshot(_stored(spark, folder).select(*names), root, key="custkey")
+    balance = F.when(F.col("c_nationkey") < 5, _renewed()).otherwise(F.col("c_acctbal"))
+    partial = table(spark, folder, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("custkey"))
+    batches = [
+        everyone.where("c_nationkey < 5").withColumn("c_acctbal", balance),
+        everyone.join(partial, "custkey", "left_semi").withColumn("c_acctbal", balance).withColumn("c_mktsegment", F.lit("PARTIAL")),
+    ]
+    for batch in batches:
+        incoming, start = batch.select(*names), items.next_version(spark, root)
+        previous = items.read_snapshot(
+            spark, root, schema=schema, key="custkey", prefixes=items.prefixes_of(incoming, "custkey"), last=start[0])
+        changed = upsert.upsert_delta(previous.select(*names), incoming, spec, images=True)
+        items.write_delta(upsert.feed_rows(changed, list(names)), root, key="custkey", start=start)
+    return items.read_changes(spark, root, [1, 2, 3], schema).select(
+        "version", F.col("new.custkey").alias("custkey"), "op", F.col("old.c_acctbal").alias("old_balance"),
+        F.col("new.c_acctbal").alias("new_balance"), F.col("old.c_mktsegment").alias("old_segment"),
+        F.col("new.c_mktsegment").alias("new_segment"))
+
+
 @query("""
 WITH inc AS (
   SELECT o_custkey AS custkey, arg_max(o_orderpriority, o_orderkey) AS c_mktsegment

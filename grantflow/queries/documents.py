@@ -252,6 +252,44 @@ def xml_records(spark, folder):
     )
 
 
+@query("""
+SELECT o_orderkey AS orderkey,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'undecodable' WHEN o_orderstatus = 'P' THEN 'forecast' ELSE 'synopsis' END AS kind,
+       CASE WHEN o_orderpriority = '5-LOW' THEN '' WHEN o_orderpriority = '1-URGENT' THEN 'a_1_0> <b> & <!-- c'
+            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'x_1_0>y' ELSE o_orderstatus END AS title
+FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '2-HIGH')
+""")
+def xml_extract(spark, folder):
+    """Extracts of the orders of each customer, cut at record tags: records of both kinds, some inside comments, some that
+    hold the delimiter in CDATA or text, some that can't be decoded."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    title = (
+        F.when(priority == "1-URGENT", "<![CDATA[a_1_0> <b> & <!-- c]]>").when(priority == "4-NOT SPECIFIED", "x_1_0>y")
+        .otherwise(status))
+    tag = F.when(status == "P", "OpportunityForecastDetail_1_0").otherwise("OpportunitySynopsisDetail_1_0")
+    closing = F.when(priority == "5-LOW", "</OpportunityName>").otherwise("</OpportunityTitle>")
+    record = F.concat(
+        F.lit("\n<"), tag, F.lit("><OpportunityID>"), F.col("o_orderkey").cast("string"),
+        F.lit("</OpportunityID><OpportunityTitle>"), title, closing, F.lit("</"), tag, F.lit(">"))
+    hidden = F.concat(F.lit("<!-- old <![CDATA["), record, F.lit(" -->"))
+    record = F.when((status == "O") & (priority == "2-HIGH"), hidden).otherwise(record)
+    extracts = table(spark, folder, "orders").groupBy(F.col("o_custkey").cast("string").alias("file")).agg(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", record.alias("xml")))).alias("r"))
+    text = F.concat(F.lit('<?xml version="1.0"?><Grants>'), F.array_join(F.transform("r", lambda x: x["xml"]), ""), F.lit("</Grants>"))
+    pieces = extracts.select("file", F.posexplode(F.split(text, registry_xml.DELIMITER)).alias("at", "chunk"))
+    # as a reader gives them: input splits, an order that grows inside each
+    chunks = pieces.select(
+        "file", F.floor(F.col("at") / 7).alias("split"), F.col("at").cast("long").alias("ord"), "chunk")
+    records, rejects = registry_xml.parse_chunks(chunks, forecasts=True)
+    good = records.select(
+        F.col("grant_id").cast("bigint").alias("orderkey"), F.when(F.col("is_forecast"), "forecast").otherwise("synopsis").alias("kind"),
+        F.col("OpportunityTitle").alias("title"))
+    bad = rejects.select(
+        F.regexp_extract("chunk", r"<OpportunityID>(\d+)", 1).cast("bigint").alias("orderkey"), F.col("reason").alias("kind"),
+        F.lit("").alias("title"))
+    return good.unionByName(bad)
+
+
 @query("""
 SELECT c_custkey AS custkey, CAST(c_custkey AS VARCHAR) AS grant_id,
        CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS bill,

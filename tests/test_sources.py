@@ -64,6 +64,34 @@ def test_registry_rejects_keep_the_rest(spark, tmp_path):
         or reasons == [("a.xml", "unclosed"), ("b.xml", "undecodable"), ("b.xml", "unclosed"), ("c.xml", "unclosed")]
 
 
+def test_comments_and_delimiters_in_text(spark, tmp_path):
+    """A record in a comment is none, and a record that holds the delimiter in text or CDATA is one."""
+    good = "<AgencyName>{}</AgencyName>"
+    docs = {
+        "a": document(f"<!-- {synopsis(1)} -->", synopsis(2), "<!-- x -->", synopsis(3), f"<!-- {synopsis(4)}{synopsis(5)} -->"),
+        "b": document(synopsis(11, extra=good.format("p_1_0>q")), synopsis(12, extra=good.format("<![CDATA[<!-- a_1_0> ]] >]]>")),
+                      synopsis(13, extra=good.format("<!-- <![CDATA[ -->t<!-- a_1_0> -->"))),
+        "c": "<?xml version='1.0'?>" + document(synopsis(21), "<?pi a_1_0> <!-- ?>", synopsis(22)) + "<!-- tail _1_0> never closed",
+        "d": document(synopsis(31)) + synopsis(32).replace("</OpportunityID>", "_1_0></OpportunityID>")[:-30],
+        "e": document(),
+    }
+    for name, text in docs.items():
+        (tmp_path / f"{name}.xml").write_text(text)
+    records, rejects = registry_xml.read_registry(spark, str(tmp_path))
+    got = {r.grant_id: r.AgencyName for r in records.collect()}
+    assert sorted(got) == ["11", "12", "13", "2", "21", "22", "3", "31"]
+    assert (got["11"], got["12"], got["13"]) == ("p_1_0>q", "<!-- a_1_0> ]] >", "t")
+    assert sorted((r.file[-5:], r.reason) for r in rejects.collect()) == [("c.xml", "unclosed"), ("d.xml", "unclosed")]
+    # however the file is cut into input splits
+    text = docs["a"] + docs["b"] + docs["c"]
+    pieces = text.split(registry_xml.DELIMITER)
+    for width in (1, 2, 5):
+        rows = [("f", i // width * 1_000, i, c) for i, c in enumerate(pieces)]
+        chunks = spark.createDataFrame(rows, "file string, split long, ord long, chunk string").repartition(3)
+        again = {r.grant_id for r in registry_xml.parse_chunks(chunks)[0].collect()}
+        assert again == {"11", "12", "13", "2", "21", "22", "3"}
+
+
 def test_registry_splits_one_file(spark, tmp_path):
     n = 3000
     (tmp_path / "extract.xml").write_text(document(*[synopsis(10000 + i) for i in range(n)]))
