@@ -40,7 +40,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, computes costly rows once."""
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
+
+
+def discard(*dfs: DataFrame) -> None:
+    """Delete the folders of staged tables that nothing reads any more."""
+    for df in dfs:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
