@@ -5,8 +5,8 @@ unknown and disguised words are read by their letters. Texts are read whole in w
 overlap by half; attention pools the outputs of a window into one logit, and the highest window decides, since a text
 is as toxic as its worst passage. A logistic calibration on the training rows turns the logit into a probability.
 
-Training: at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other labelled documents, chosen by a hash of the id, of each
-at most ``CROP`` characters; the bound doesn't grow with the corpus.
+Training: at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other labelled documents, chosen by a hash of the id; the bound
+doesn't grow with the corpus. Their texts are taken whole.
 
 Defined results: null text and text without a word has score 0; without labels of both classes every score is 0;
 labels other than 0 and 1 are not learned from; a document with several labels counts as toxic if one says so; rows
@@ -27,12 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grantflow.llm.common import pick, small
+from grantflow.llm.common import keyed, pick, row_key, small, staged
 from grantflow.llm.recurrent import Adam, Gru, add_rows, both_ways, flip, table_gradient, tanh, uniform, unflip
 
 MAX_TOXIC = 700
 MAX_CLEAN = 1000
-CROP = 20_000
 WINDOW, STRIDE = 32, 16
 SIZE, DIM, GRAMS, BUCKETS = 8, 8, (3, 4, 5), 1 << 14
 TABLE = 100_000  # words whose gate inputs are kept at once in a task
@@ -131,8 +130,8 @@ def window_logits(x: np.ndarray, table: np.ndarray, p: dict[str, np.ndarray], ba
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def train(texts: list[str], labels: list[int], steps: int = 240, docs: int = 32, most: int = 48) -> Model | None:
-    """``most``: windows of a long document that one step looks at."""
+def train(texts: list[str], labels: list[int], steps: int = 240, docs: int = 32) -> Model | None:
+    """A step looks at all windows of some documents of each label; the highest one of each teaches."""
     rng = np.random.default_rng(11)
     tokens = [[w for w in map(normal, t.lower().split()) if w] for t in texts]
     y = np.array(labels)
@@ -171,10 +170,7 @@ def train(texts: list[str], labels: list[int], steps: int = 240, docs: int = 32,
     for step in range(steps):
         adam.rate = 0.02 * (1 - step / steps) + 0.001
         chosen = np.concatenate([rng.choice(g, docs // 2) for g in groups])
-        cuts = []
-        for i in chosen:
-            x = cut_windows(coded[i], -1)
-            cuts.append(x[:, rng.permutation(x.shape[1])[:most]] if x.shape[1] > most else x)
+        cuts = [cut_windows(coded[i], -1) for i in chosen]
         x = np.concatenate(cuts, axis=1)
         doc = np.repeat(np.arange(len(cuts)), [c.shape[1] for c in cuts])
         local = np.unique(x)
@@ -255,10 +251,16 @@ class Scorer:
         pad = table.shape[1] - 1
         rows = self.rows
         out = np.full(len(texts), -np.inf)
-        x = [cut_windows(np.fromiter((rows[w] for w in t), np.int64, len(t)), pad) for t in tokens]
-        doc = np.repeat(np.arange(len(texts)), [c.shape[1] for c in x])
-        if len(x):
-            np.maximum.at(out, doc, window_logits(np.concatenate(x, axis=1), table, self.model.params))
+        parts, width = [], 0
+        for i, t in enumerate(tokens):
+            x = cut_windows(np.fromiter((rows[w] for w in t), np.int32, len(t)), pad)
+            parts.append((np.full(x.shape[1], i), x))
+            width += x.shape[1]
+            # the windows of some texts together, not those of all
+            if width >= 4096 or i == len(tokens) - 1:
+                doc, x = (np.concatenate(c, axis=-1) for c in zip(*parts, strict=True))
+                np.maximum.at(out, doc, window_logits(x, table, self.model.params))
+                parts, width = [], 0
         out[[not t for t in tokens]] = -np.inf
         return out
 
@@ -281,46 +283,47 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column) -> list[tu
     chosen = {r.id: r.toxic for r in sample[0].union(sample[1]).collect()}
     if not chosen:
         return []
-    start = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - CROP, F.lit(0)) + 1).cast("int") + 1
+    # whole texts: what marks a document may stand anywhere in it
     texts = (
-        docs.where(F.col("id").isin(list(chosen))).select("id", F.substring("text", start, F.lit(CROP)).alias("text"))
-        .groupBy("id").agg(F.min("text").alias("text"))
+        docs.where(F.col("id").isin(list(chosen))).select("id", "text").groupBy("id").agg(F.min("text").alias("text"))
     )
     return sorted((r.id, r.text or "", chosen[r.id]) for r in texts.collect())
 
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    held_out: Column | None = None, carry: bool = False,
+    held_out: Column | None = None, key: Column | None = None,
 ) -> DataFrame:
     """``id, held_out, score, predicted`` per row of ``docs``; ``held_out`` is a condition on ``id``.
 
-    With ``carry`` also ``row``, a struct of all columns of ``docs``.
+    With ``key``, a number made of the columns of ``docs``, also that as ``key``.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("boolean")
     rows = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), whole.alias("row"))
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"),
+        (F.lit(None) if key is None else key).cast("long").alias("key"))
     held_out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     marks = pick(labels, id_col, label_col).toDF("id", "toxic").where(F.col("id").isNotNull())
     sample = training_rows(rows.select("id", "text"), marks, ~held_out)
     model = train([r[1] for r in sample], [r[2] for r in sample]) if sample else None
-    kept = rows.select("id", held_out.alias("held_out"), "row")
-    returned = T.StructType(kept.schema.fields + [
-        T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    names = ["id", "held_out", "key", "score", "predicted"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
-        for batch in small(batches):
+        for batch in small(batches, size=1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found = scorer.scores(texts) if scorer else np.zeros(len(texts))
-            columns = [batch.column("id"), batch.column("held_out"), batch.column("row"),
+            columns = [batch.column("id"), batch.column("held_out"), batch.column("key"),
                        pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "row", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    scored = rows.select("id", held_out.alias("held_out"), "row", "text").mapInArrow(score, returned)
-    return scored if carry else scored.drop("row")
+    scored = rows.select("id", held_out.alias("held_out"), "key", "text").mapInArrow(
+        score, "id long, held_out boolean, key long, score double, predicted int")
+    return scored.drop("key") if key is None else scored
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted to be toxic, all columns as they are."""
-    return score_toxicity(docs, labels, id_col, text_col, carry=True).where("predicted = 0").select("row.*")
+    """The rows of ``docs`` that are not predicted to be toxic, all columns as they are. Equal rows share their fate; rows
+    without text or id are judged like others; an empty table, or one without labels, loses nothing."""
+    scored = score_toxicity(docs, labels, id_col, text_col, key=row_key(docs))
+    rejected = staged(scored.where("predicted = 1").select("key").distinct(), "rejected")
+    return keyed(docs).join(rejected, "key", "left_anti").select("row.*")
