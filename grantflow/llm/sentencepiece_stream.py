@@ -6,10 +6,10 @@ encoding of its text exactly if every piece encodes to itself and every two neig
 encoding of each prefix has one last piece, found from the prefixes that end within the longest piece before it: a
 Viterbi recursion in which an admissible path survives instead of the best one.
 
-The encoder reads text in pieces of any size, keeps back pointers for a window of the longest piece, and commits ids as
-soon as the paths of all prefixes in the window meet in one boundary. Where no piece can cross a boundary (before a
-blank that follows something else) the window is flushed at once; the ids of such short units are kept in a bounded
-table.
+The encoder reads text in parts of any size and keeps back pointers for a window of at most twice the longest piece. It
+commits ids where the paths of all prefixes that a later piece can start from meet in one boundary: when the window is
+full, and wherever no piece can cross a boundary (before a blank that follows something else, say), as all paths meet
+there. The ids of the units between such boundaries are kept in a bounded table.
 
 Characters without a piece are written as bytes. Decoding reverses all of it.
 
@@ -36,7 +36,6 @@ from grantflow.llm.common import pick, small
 
 BLANK = "▁"
 TABLE = 300_000  # units, and pairs of pieces, kept at once in a task
-LONGEST_UNIT = 64
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -66,6 +65,8 @@ class Vocabulary:
         place = {s: i for i, s in enumerate(order)}
         self.order = {p: place[s] if len(p) > 1 else -1 for p, s in self.score.items()}
         self.halves: dict[str, tuple[str, str] | None] = {}
+        self.codes = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        self.sure: dict[str, bool | None] = dict.fromkeys(self.order)  # whether a piece encodes to itself, once known
 
     def _unit_pattern(self) -> re.Pattern | None:
         """Cuts text where no piece crosses: before blanks, around line ends without a piece, and between a letter and
@@ -99,6 +100,14 @@ class Vocabulary:
             self.halves[piece] = tuple(parts) if len(parts) == 2 and piece in self.order else None
         return self.halves[piece]
 
+    def code(self, piece: str) -> bytes:
+        """The id of a piece, or those of the bytes of a character without one, four bytes each."""
+        known = self.codes.get(piece)
+        if known is None:
+            known = self.codes[piece] = np.array(
+                [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")], dtype="<u4").tobytes()
+        return known
+
     def itself(self, piece: str) -> bool:
         return len(piece) == 1 or piece in self.order and self.split(piece) is not None
 
@@ -126,8 +135,7 @@ class Stream:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.table: dict[str, tuple[int, ...]] = {}
-        self.lasts: dict[str, str] = {}
+        self.table: dict[str, bytes] = {}
         self.commits = self.widest = 0
         self.reset()
 
@@ -144,29 +152,41 @@ class Stream:
             known = self.pairs[a, b] = self.v.neighbours(a, b)
         return known
 
-    def _extend(self, end: int) -> None:
-        """The last piece of the prefix that ends at ``end``; exactly one is admissible."""
-        window, last, order, halves, pairs = self.window, self.last, self.v.order, self.v.halves, self.pairs
-        for start in range(max(0, end - self.v.longest), end):
-            piece = window[start:end]
-            if piece not in order:
-                if end - start > 1:
-                    continue
-            elif end - start > 1 and not (halves[piece] if piece in halves else self.v.split(piece)):
-                continue
-            before = last[start] if start else self.before
-            if not before or (pairs[before, piece] if (before, piece) in pairs else self._neighbours(before, piece)):
-                last.append(piece)
-                return
-        raise ValueError(f"no path to {window!r}")
-
-    def push(self, char: str) -> list[str]:
-        """One more character; gives the pieces that are certain now."""
-        self.window += char
-        end = len(self.window)
-        self._extend(end)
-        self.widest = max(self.widest, end)
-        return self._commit()
+    def _extend(self, window: str, last: list[str], begin: int) -> None:
+        """The last pieces of the prefixes of ``window`` that end after ``begin``. Exactly one is admissible for each, and
+        short ones are the likely ones."""
+        sure, pairs, longest = self.v.sure, self.pairs, self.v.longest
+        for end in range(begin + 1, len(window) + 1):
+            for start in range(end - 1, end - longest - 1 if end > longest else -1, -1):
+                piece = window[start:end]
+                fits = sure.get(piece, start == end - 1)
+                if fits is None:
+                    fits = sure[piece] = self.v.itself(piece)
+                if fits:
+                    previous = last[start] if start else self.before
+                    if previous:
+                        fits = pairs.get((previous, piece))
+                        if fits is None:
+                            fits = self._neighbours(previous, piece)
+                    if fits:
+                        last.append(piece)
+                        break
+            else:
+                raise ValueError(f"no path to {window!r}")
+
+    def push(self, text: str) -> list[str]:
+        """More characters; gives the pieces that are certain by now. The paths are followed back at the end of the text and
+        whenever the window is twice as long as the longest piece."""
+        certain, full = [], 2 * self.v.longest
+        at = 0
+        while at < len(text):
+            begin = len(self.window)
+            self.window += text[at : at + full - begin]
+            at += full - begin
+            self._extend(self.window, self.last, begin)
+            self.widest = max(self.widest, len(self.window))
+            certain += self._commit()
+        return certain
 
     def _commit(self) -> list[str]:
         """Follow back the paths of all prefixes that a later piece can start from until they meet."""
@@ -197,70 +217,58 @@ class Stream:
         self.reset()
         return pieces
 
-    def _ids(self, pieces: Iterable[str]) -> Iterator[int]:
-        for p in pieces:
-            if p in self.v.ids:
-                yield self.v.ids[p]
-            else:
-                yield from (self.v.bytes[b] for b in p.encode("utf-8", "surrogatepass"))
-
-    def unit(self, text: str) -> tuple[int, ...]:
-        """Ids of a unit that no piece leaves: its end is a sure boundary, and the last pieces of prefixes, which units
-        share, are kept as well."""
-        known = self.table.get(text)
-        if known is not None:
-            return known
-        if len(text) > LONGEST_UNIT:
-            out = [i for c in text for i in self._ids(self.push(c))]
-            return tuple(out + list(self._ids(self.finish())))
-        lasts, order, halves, pairs, longest = self.lasts, self.v.order, self.v.halves, self.pairs, self.v.longest
-        if len(lasts) > 2 * TABLE:
-            lasts.clear()
-        end = len(text)
-        while end and text[:end] not in lasts:
-            end -= 1
-        while end < len(text):
-            end += 1
-            prefix = text[:end]
-            # short pieces are the likely ones
-            for start in range(end - 1, max(0, end - longest) - 1, -1):
-                piece = prefix[start:]
-                if end - start > 1 and not (piece in order and (halves.get(piece) or self.v.split(piece))):
-                    continue
-                if start:
-                    pair = (lasts[prefix[:start]], piece)
-                    if not (pairs[pair] if pair in pairs else self._neighbours(*pair)):
-                        continue
-                lasts[prefix] = piece
-                break
-            else:
-                raise ValueError(f"no path to {prefix!r}")
-        pieces = []
-        while end:
-            pieces.append(lasts[text[:end]])
-            end -= len(pieces[-1])
-        known = tuple(self._ids(reversed(pieces)))
+    def _bytes(self, pieces: Iterable[str]) -> bytes:
+        return b"".join(map(self.v.code, pieces))
+
+    def _ids(self, pieces: Iterable[str]) -> list[int]:
+        return np.frombuffer(self._bytes(pieces), dtype="<u4").tolist()
+
+    def learn(self, units: Iterable[str]) -> None:
+        """Ids of units into the table. They come sorted, so that the window of one is good for the next as far as both
+        begin alike."""
+        window, last, full, code = "", [""], 2 * self.v.longest, self.v.code
+        for unit in sorted(units):
+            if len(unit) >= full:
+                self.table[unit] = self._bytes(self.push(unit) + self.finish())
+                continue
+            same = 0
+            for x, y in zip(window, unit, strict=False):
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1 :]
+            window = unit
+            self._extend(window, last, same)
+            # all paths meet at its end: commit
+            pieces, at = [], len(unit)
+            while at:
+                pieces.append(code(last[at]))
+                at -= len(last[at])
+            self.commits += 1
+            pieces.reverse()
+            self.table[unit] = b"".join(pieces)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts, unit by unit where the model allows that: at the end of a unit all paths meet. Finished units are
+        kept, a bounded number."""
+        marked = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
+        if not self.v.unit:
+            return [self._streamed(m) for m in marked]
+        rows = [self.v.unit.findall(m) for m in marked]
         if len(self.table) > TABLE:
             self.table.clear()
-        self.table[text] = known
-        return known
+        self.learn(set().union(*rows).difference(self.table))
+        return [np.frombuffer(b"".join(map(self.table.__getitem__, units)), dtype="<u4") for units in rows]
 
-    def encode(self, text: str) -> Iterator[int]:
-        """Ids of a text, unit by unit where the model allows that, else character by character."""
-        if not text:
-            return
-        marked = BLANK + text.replace(" ", BLANK)
-        if self.v.unit:
-            table = self.table
-            for unit in self.v.unit.findall(marked):
-                yield from table[unit] if unit in table else self.unit(unit)
-        else:
-            for c in marked:
-                yield from self._ids(self.push(c))
-            yield from self._ids(self.finish())
+    def _streamed(self, marked: str) -> np.ndarray:
+        parts = [self._bytes(self.push(marked[at : at + 4096])) for at in range(0, len(marked), 4096)]
+        return np.frombuffer(b"".join([*parts, self._bytes(self.finish())]), dtype="<u4")
 
     def encode_array(self, text: str) -> np.ndarray:
-        return np.fromiter(self.encode(text), dtype="<u4")
+        return self.encode_all([text])[0]
+
+    def encode(self, text: str) -> Iterator[int]:
+        return iter(self.encode_array(text).tolist())
 
 
 def decode(ids: Iterable[int], v: Vocabulary) -> str:
@@ -286,10 +294,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = Stream(Vocabulary(path))
         for batch in small(batches):
-            texts = batch.column("text").to_pylist()
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column("id"), pa.array([len(t or "") for t in texts], pa.int64()),
-                pa.array([stream.encode_array(t or "").astype(np.int32) for t in texts], pa.list_(pa.int32())),
+                batch.column("id"), pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([ids.astype(np.int32) for ids in stream.encode_all(texts)], pa.list_(pa.int32())),
             ], schema=ENCODED)
 
     return _rows(docs, id_col, text_col).mapInArrow(run, from_arrow_schema(ENCODED))
@@ -306,9 +314,8 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         in_bytes[list(v.bytes.values())] = True
         for batch in small(batches):
             rows = []
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                text = text or ""
-                ids = stream.encode_array(text)
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for doc, text, ids in zip(batch.column("id").to_pylist(), texts, stream.encode_all(texts), strict=True):
                 rows.append((doc, len(text), len(ids), int(in_bytes[ids].sum()), zlib.crc32(ids.tobytes()),
                              decode(ids.tolist(), v) == text))
             yield pa.RecordBatch.from_pylist([dict(zip(ROUND_TRIP.names, r, strict=True)) for r in rows], ROUND_TRIP)

@@ -363,6 +363,17 @@ def test_sentencepiece_equals_the_library():
     assert stream.widest <= 2 * v.longest and stream.commits > 1000
 
 
+def test_sentencepiece_commits_on_a_table():
+    import pyarrow.parquet as pq
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()][:60]
+    stream = sentencepiece_stream.Stream(sentencepiece_stream.Vocabulary(path))
+    ids = [i.tolist() for i in stream.encode_all(texts)]
+    assert stream.commits > 100 and stream.commits >= len(stream.table)
+    assert ids == sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
+
+
 def test_sentencepiece_rows(odd_docs, no_docs):
     import sentencepiece
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
