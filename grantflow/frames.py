@@ -25,6 +25,12 @@ def let(c: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), lambda v: use(v)), 0)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt over all the shuffle partitions, for costly work on each of them: a compact table is read by a few tasks,
+    and without a number given the optimizer puts partitions together again by their bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to ``path`` and read back: computed once, whatever is made of it, and not again when executors go."""
     df.write.mode("overwrite").parquet(path)

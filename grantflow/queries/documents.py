@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantflow import schemas
+from grantflow.frames import spread
 from grantflow.functions import ulid
 from grantflow.operators import canonical, events, validate
 from grantflow.queries.base import joined, query, table
@@ -33,12 +34,14 @@ e AS (
 """
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame:
+def _records(spark: SparkSession, folder: str, spread_out: bool = False) -> DataFrame:
     nations = table(spark, folder, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     people = table(spark, folder, "customer").join(nations, "c_nationkey").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "n_name", "c_nationkey"
     )
     o = table(spark, folder, "orders").join(people, "o_custkey")
+    if spread_out:
+        o = spread(o, "o_orderkey", "o_custkey", "o_totalprice")
     st, pr, seg = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("c_mktsegment")
     price = F.floor("o_totalprice").cast("bigint")
     day = F.date_format("o_orderdate", "MMddyyyy")
@@ -242,7 +245,8 @@ FROM e
 """)
 def xml_records(spark, folder):
     """Records written as XML documents and decoded again."""
-    docs = registry_xml.to_xml_text(_records(spark, folder)).select("orderkey", "xml")
+    # a compact table of orders is read by one task or two; documents are written and decoded by all
+    docs = registry_xml.to_xml_text(_records(spark, folder, spread_out=True)).select("orderkey", "xml")
     out = registry_xml.decode_records(docs, "xml")
     return out.select(
         "orderkey", "status", "is_forecast", F.col("OpportunityID").alias("id"),

@@ -298,3 +298,22 @@ def test_quarantine_retention(spark, tmp_path):
     q = spark.read.parquet(str(tmp_path / "q"))
     assert landing.retained(q, F.current_timestamp()).count() == 1
     assert landing.retained(q, F.current_timestamp() + F.expr("INTERVAL 15 DAYS")).count() == 0
+
+
+def test_xml_documents_of_a_compact_table_are_dealt_out(spark, tmp_path):
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from grantflow.queries.documents import xml_records
+
+    def write(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    write("nation", [(1, "PERU")], "n_nationkey int, n_name string")
+    write("customer", [(7, "C 7", "BUILDING", 1)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey int")
+    write("orders", [(i if i % 9 else None, 7, "F", "1-URGENT", date(2024, 1, 2), 10.0 + i) for i in range(200)],
+          "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate date, o_totalprice double")
+    out = xml_records(spark, str(tmp_path)).withColumn("part", F.spark_partition_id())
+    parts = [r["count"] for r in out.groupBy("part").count().collect()]
+    assert sum(parts) == 200 and len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
