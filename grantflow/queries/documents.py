@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantflow import schemas
-from grantflow.frames import spread
+from grantflow.frames import spread, stored, work_folder
 from grantflow.functions import ulid
 from grantflow.operators import canonical, events, validate
 from grantflow.queries.base import joined, query, table
@@ -284,7 +284,10 @@ def xml_extract(spark, folder):
     # as a reader gives them: input splits, an order that grows inside each
     chunks = pieces.select(
         "file", F.floor(F.col("at") / 7).alias("split"), F.col("at").cast("long").alias("ord"), "chunk")
-    records, rejects = registry_xml.parse_chunks(chunks, forecasts=True)
+    # built once and parsed once, though read for borders and records, for records and rejects
+    chunks = stored(spread(chunks, "file"), work_folder(spark, "chunks"))
+    records, rejects = registry_xml.parse_results(
+        stored(registry_xml.parse_all(chunks, forecasts=True), work_folder(spark, "parsed")))
     good = records.select(
         F.col("grant_id").cast("bigint").alias("orderkey"), F.when(F.col("is_forecast"), "forecast").otherwise("synopsis").alias("kind"),
         F.col("OpportunityTitle").alias("title"))

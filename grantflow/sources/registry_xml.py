@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantflow import schemas
-from grantflow.frames import settled
+from grantflow.frames import settled, stored, work_folder
 
 DELIMITER = "_1_0>"
 # what may stand before a record: white space and the document's own tags; each pattern is one pass
@@ -106,12 +106,16 @@ def stitched(chunks: DataFrame) -> DataFrame:
     CDATA, a processing instruction, or where a text holds the delimiter, are put together again.
 
     Each chunk is a function from the state in which it begins to the one in which it ends. Functions are composed inside
-    each input split, the splits of a file one after the other, so the state at every border follows from two short scans;
-    only keys and functions are shuffled. Chunks at false borders, which are few, are collected and joined.
+    each input split, the splits of a file one after the other, so the state at every border follows from two short scans
+    of the functions, which are stored, as are the places of false borders: the chunks are read for the functions once and
+    for the records once. Only keys and functions are shuffled. Chunks at false borders, which are few, are collected and
+    joined.
     """
     place = ["file", "split", "ord"]
-    narrow = chunks.select(
-        *place, _transition(F.col("chunk")).alias("f"), F.col("chunk").rlike(_RECORD_TAG).alias("tag"))
+    spark = chunks.sparkSession
+    narrow = stored(chunks.select(
+        *place, _transition(F.col("chunk")).alias("f"), F.col("chunk").rlike(_RECORD_TAG).alias("tag")),
+        work_folder(spark, "borders"))
     turning = narrow.where(F.col("f") != _STATES).groupBy("file", "split").agg(
         F.array_sort(F.collect_list(F.struct("ord", "f"))).alias("turns"))
     splits = narrow.groupBy("file", "split").agg(F.max_by("tag", "ord").alias("tag")).join(turning, ["file", "split"], "left")
@@ -138,6 +142,7 @@ def stitched(chunks: DataFrame) -> DataFrame:
     order = Window.partitionBy("file").orderBy("split", "ord")
     loose = borders.where("`false` OR goes_on").select(*place, F.sum((~F.col("goes_on")).cast("int")).over(order).alias("part"))
     several = loose.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("file", "part"))).where("n > 1").drop("n")
+    several = stored(several, work_folder(spark, "false-borders"))
     pieces = chunks.join(several, place).groupBy("file", "part").agg(
         F.array_sort(F.collect_list(F.struct("split", "ord", "chunk"))).alias("c"))
     last = F.element_at("c", -1)

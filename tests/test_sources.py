@@ -300,6 +300,27 @@ def test_quarantine_retention(spark, tmp_path):
     assert landing.retained(q, F.current_timestamp() + F.expr("INTERVAL 15 DAYS")).count() == 0
 
 
+def test_stitching_reads_its_chunks_few_times(spark):
+    from pyspark.sql import functions as F
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(chunk):
+        read.add(1)
+        return chunk
+
+    tag = "OpportunitySynopsisDetail"
+    pieces = [f"<{tag}_1_0>", *[f"<OpportunityID>{i}</OpportunityID></{tag}_1_0>\n<{tag}_1_0>" for i in range(20)]]
+    chunks = spark.createDataFrame(
+        [("f", i // 7, i, c) for i, c in enumerate("".join(pieces).split("_1_0>"))],
+        "file string, split int, ord int, chunk string").repartition(2)
+    rows = chunks.count()
+    chunks = chunks.withColumn("chunk", counted("chunk"))
+    registry_xml.stitched(chunks).collect()
+    assert 0 < read.value <= 3 * rows  # for the functions, for the pieces to be joined, for all the others
+
+
 def test_xml_documents_of_a_compact_table_are_dealt_out(spark, tmp_path):
     from datetime import date
 
