@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -383,3 +384,47 @@ def test_sentencepiece_rows(odd_docs, no_docs):
     assert all(r.round_trip for r in sentencepiece_stream.round_trip(odd_docs).collect())
     assert sentencepiece_stream.round_trip(no_docs).count() == 0
     assert sentencepiece_stream.round_trip(odd_docs).where(F.col("n_chars") == 0).agg(F.max("n_ids")).first()[0] == 0
+
+
+def test_shared_passages_put_nothing_into_regions(spark, monkeypatch):
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passages = [words(60) for _ in range(20)]
+    texts = [f"{passages[i // 6]} {words(140)}" for i in range(120)]
+    texts += [f"{texts[0]} more", f"{texts[60]} more words"]
+    written = {}
+    plain = jaccard_join.staged
+    monkeypatch.setattr(jaccard_join, "staged", lambda df, name: written.update({name: plain(df, name)}) or written[name])
+    monkeypatch.setattr(jaccard_join, "discard", lambda *dfs: None)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component_id for r in jaccard_join._placed(docs.selectExpr("doc_id id", "doc_id mark", "text"), Rule(), 4000)
+           .selectExpr("id", "component component_id").collect()}
+    assert got[0] == got[120] and got[60] == got[121] and len(set(got.values())) == 120
+    assert 4 <= written["members"].count() <= 12
+
+
+def test_places_that_meet_over_batches():
+    rng = np.random.default_rng(3)
+    rows = np.unique(rng.integers(0, 60, (90, 2)), axis=0)
+    rows = np.repeat(rows, rng.integers(1, 3, len(rows)), axis=0)
+    several = {r for r, _ in rows.tolist() if len({k for q, k in rows.tolist() if q == r}) > 1}
+    for size in (1, 2, 7, 1000):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in rows[i : i + size].T], names=["region", "key"])
+                   for i in range(0, len(rows), size))
+        got = [tuple(r.values()) for b in jaccard_join._met(batches) for r in b.to_pylist()]
+        assert got == sorted({(r, k) for r, k in rows.tolist() if r in several})
+
+
+def test_partners_meet_in_as_many_slices_as_they_need():
+    rng = random.Random(8)
+    for _ in range(400):
+        n = rng.randrange(6, 300)
+        a = np.unique(np.array([rng.randrange(1 << 63) for _ in range(n)], dtype=np.uint64))
+        gone, more = rng.randrange(n // 6 + 1), rng.randrange(n // 6 + 1)
+        b = np.unique(np.concatenate([a[gone:], np.array([rng.randrange(1 << 63) for _ in range(more)], dtype=np.uint64)]))
+        if not Rule().linked(len(np.intersect1d(a, b)), len(a), len(b)) or len(a) == len(b) == len(np.intersect1d(a, b)):
+            continue
+        both = np.intersect1d(jaccard_join.region_hashes(a, Rule()), jaccard_join.region_hashes(b, Rule()))
+        met = {int(c): int(k) for c, k in zip(*np.unique(both % np.uint64(jaccard_join.CLASSES), return_counts=True), strict=True)}
+        least = [jaccard_join.needs(s, Rule()) for s in (a, b)]
+        assert any(all(k >= (own if c == number else lower) for number, own, lower in least) for c, k in met.items())
