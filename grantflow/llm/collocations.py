@@ -7,10 +7,12 @@ the second word and so on puts equal beginnings together: the size of an equal p
 1. Each task deals the pointers of a block of its documents by their first words, sorts them and writes, for each route
    (a share of the first words), the words and sizes of the equal parts, staged as Parquet.
 2. The rows are routed by their leading words: by the first; where that has very many suffixes, by the first two; and
-   where one pair has that many as well, by all three. The lists of such beginnings are complete and bounded.
+   where one pair has that many as well, by all three. The lists of such beginnings are complete and bounded. Only rows
+   of routes that such a beginning stands in are written anew.
 3. Each task sorts the rows of each route, weighted, in blocks that end between routes, and abandons every part that stays
-   below the least count: all its occurrences are there. A route longer than two blocks is sorted in several, where
-   nothing is abandoned. The sizes of equal parts of all blocks add up to the counts.
+   below the least count: all its occurrences are there. A route longer than a block is sorted in parts that end between
+   first words, inside a longer word between second ones and so on. One longer than ``HELD`` blocks is sorted in several
+   of them, where nothing is abandoned. The sizes of equal parts of all blocks add up to the counts.
 4. Cuts, scores and the phrases that a longer one holds are joins of the counted phrases.
 
 Defined results: null text has no words; null language is ``und``; rows without id, repeated rows and equal texts count
@@ -40,7 +42,8 @@ LEAST = 10  # occurrences of a phrase
 TOP = 2000  # phrases of a language
 BLOCK = 2 << 20  # bytes of text sorted at once; a sixth as many suffixes of routes
 ROUTES = 1024  # shares of the first words in which a block is written
-ROUTE = 200_000  # rows of one first word, or pair of words, that one route may hold
+ROUTE = 2_000_000  # rows of one first word, or pair of words, that one route may hold
+HELD = 8  # blocks of one route that a task holds as numbers
 SHARE = 10_000  # ... or this part of all rows, so that the lists of heavy beginnings stay bounded
 MARK = b"."  # all marks that end a piece
 BREAK = re.compile(rb"[ \t.,;:!?\n-\r]")
@@ -248,9 +251,15 @@ FIELDS = LONGEST + 1
 DIGITS = np.array([b"%d" % n for n in range(1000)], dtype=object)
 
 
-def _unpacked(following: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Numbers of the words of suffixes (``ENDED`` for none), weights, and the words."""
-    codes, words = _numbered(pc.split_pattern(_unchecked(following), " ").flatten())
+def _unpacked(following: pa.Array, most: int | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Numbers of the words of suffixes (``ENDED`` for none), weights, and the words; with ``most``, texts are split for
+    so many rows at a time."""
+    coded = pa.chunked_array([
+        pc.split_pattern(_unchecked(following.slice(at, most or len(following))), " ").flatten().dictionary_encode()
+        for at in range(0, len(following), most or len(following))]).unify_dictionaries()
+    words = np.empty(len(coded.chunk(0).dictionary), dtype=object)
+    words[:] = coded.chunk(0).dictionary.cast(pa.binary()).to_pylist()
+    codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in coded.chunks])
     digits, place = np.unique(codes[LONGEST::FIELDS], return_inverse=True)
     codes = np.where((words == b"")[codes], ENDED, codes).astype(np.int32)
     return [codes[k::FIELDS] for k in range(LONGEST)], words[digits].astype("S20").astype(np.int64)[place], words
@@ -289,10 +298,49 @@ def sorted_suffixes(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, from_arrow_schema(SUFFIXES))
 
 
+def _found(wanted: list, values: pa.Array) -> np.ndarray:
+    """Where each of the ``wanted`` stands among distinct ``values``, -1 for those that don't."""
+    return pc.fill_null(pc.index_in(pa.array(wanted, values.type), value_set=values), -1).to_numpy().astype(np.int64)
+
+
+class Heavy:
+    """Beginnings with many suffixes: ``words`` (language, first) and ``pairs`` (language, first, second), each with a number."""
+
+    def __init__(self, beginnings: list[tuple], numbers: list[int]):
+        self.columns = [list(c) for c in zip(*beginnings, strict=True)]
+        self.numbers = np.array(numbers, dtype=np.int64)
+
+    def of(self, langs: pa.Array, words: pa.Array, codes: list[np.ndarray]) -> np.ndarray:
+        """The number of each suffix, given by the places of its language and words among ``langs`` and ``words``; 0 for
+        suffixes that begin otherwise."""
+        if not self.columns:
+            return np.zeros(len(codes[0]), dtype=np.int64)
+        mine = [_found(c, words if k else langs) for k, c in enumerate(self.columns)]
+        there = np.flatnonzero(np.all([m >= 0 for m in mine], axis=0))
+        # first (language, first) are numbered, then those with the second, so that no product is too large
+        keys, own = codes[0].astype(np.int64), mine[0][there]
+        for column, other in zip(codes[1:], mine[1:], strict=True):
+            own = own * (len(words) + 1) + other[there]
+            listed = np.unique(own)
+            keys = _at(listed, keys * (len(words) + 1) + column)
+            own = np.searchsorted(listed, own)
+        number = np.zeros(len(there) + 1, dtype=np.int64)
+        number[own] = self.numbers[there]
+        return number[keys]
+
+
+def _at(listed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The places of ``keys`` among ascending numbers, -1 for those that aren't there."""
+    if not len(listed):
+        return np.full(len(keys), -1, dtype=np.int64)
+    place = np.minimum(np.searchsorted(listed, keys), len(listed) - 1)
+    return np.where(listed[place] == keys, place, -1)
+
+
 def routed(suffixes: DataFrame, route: int = ROUTE, size: int = BLOCK // 6) -> DataFrame:
     """The suffixes with the route of each: by the first word; where that has many, by the second; and where a pair has
     many, by the third, so that such pairs are counted in several routes. Where the shares of the first words are larger
-    than half a block of ``size``, they are dealt to more routes.
+    than ``HELD`` blocks of ``size``, they are dealt to more routes.
 
     What blocks don't report of a beginning is less than half of the limit in all, so the lists hold every beginning above
     the limit, and at most 2 ``SHARE`` words and as many pairs."""
@@ -300,40 +348,53 @@ def routed(suffixes: DataFrame, route: int = ROUTE, size: int = BLOCK // 6) -> D
     limit = max(route, total // SHARE)
     reported = suffixes.where("following is null").groupBy("lang", "route", "first", "second").agg(F.sum("n_rows").alias("n_rows"))
     heavy = reported.where(F.col("n_rows") * 2 >= limit).collect()
-    pairs = {(r.lang, bytes(r.first), bytes(r.second)) for r in heavy if r.second is not None}
-    routes = {(r.lang, bytes(r.first)): -(-2 * r.n_rows // limit) for r in heavy if r.second is None}
+    pairs = Heavy([(r.lang, bytes(r.first), bytes(r.second)) for r in heavy if r.second is not None],
+                  [1 for r in heavy if r.second is not None])
+    routes = Heavy([(r.lang, bytes(r.first)) for r in heavy if r.second is None],
+                   [-(-2 * r.n_rows // limit) for r in heavy if r.second is None])
     rows = suffixes.where("following is not null").select(
         "lang", F.lit(BY_FIRST).alias("kind"), "route", "n_rows", "following")
-    shares = -(-2 * total // (ROUTES * size))
-    if not routes and shares <= 1:
+    shares = -(-total // (ROUTES * HELD * size))
+    if not routes.columns and shares <= 1:
         return rows
     places = sorted({(r.lang, r.route) for r in heavy})
     listed = F.broadcast(suffixes.sparkSession.createDataFrame(places, "lang string, route long"))
 
+    def dealt(rows: pa.Table) -> pa.RecordBatch:
+        """Rows of suffixes that lie together, dealt anew."""
+        of = np.repeat(np.arange(rows.num_rows), rows.column("n_rows").to_numpy())
+        coded = rows.column("lang").combine_chunks().dictionary_encode()
+        lang = coded.indices.to_numpy(zero_copy_only=False)[of].astype(np.int64)
+        (first, second, third), weight, words = _unpacked(rows.column("following").combine_chunks())
+        words = np.append(words, b"")
+        sums = np.array([zlib.crc32(w) for w in words.tolist()], dtype=np.int64)
+        langs, distinct = coded.dictionary, pa.array(words[:-1], pa.binary())
+        several = routes.of(langs, distinct, [lang, first])
+        kind = np.where(several > 0, BY_SECOND, BY_FIRST)
+        kind[(several > 0) & (second != ENDED) & (pairs.of(langs, distinct, [lang, first, second]) > 0)] = BY_THIRD
+        # a heavy word has routes of its own
+        usual = rows.column("route").to_numpy()[of] + ROUTES * (sums[first] // ROUTES % max(1, shares))
+        by = sums[second] + np.where(kind == BY_THIRD, 7 * sums[third], 0)
+        to = np.where(several > 0, sums[first] * 1_000 + by % np.maximum(several, 1), usual)
+        order = np.lexsort((to, lang * 3 + kind))
+        kind, to, lang = kind[order], to[order], lang[order]
+        cuts = _runs(np.stack([lang, kind, to]), ROW)
+        return pa.RecordBatch.from_arrays([
+            langs.take(pa.array(lang[cuts])), pa.array(kind[cuts].astype(np.int32)), pa.array(to[cuts]),
+            pa.array(np.diff(np.append(cuts, len(order)))),
+            pa.array(_packed([words[k[order]] for k in (first, second, third)], weight[order], cuts), pa.binary())],
+            schema=ROUTED)
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in small(batches):
-            out = []
-            for row in batch.to_pylist():
-                lang = row["lang"]
-                keys, weight, texts = _unpacked(pa.array([row["following"]], pa.binary()))
-                texts = np.append(texts, b"")
-                sums = np.array([zlib.crc32(t) for t in texts.tolist()])
-                first, second, third = keys
-                several = np.array([routes.get((lang, t), 0) for t in texts.tolist()])[first]
-                kind = np.where(several > 0, BY_SECOND, BY_FIRST)
-                for k in np.flatnonzero((several > 0) & (second != ENDED)).tolist():
-                    if (lang, texts[first[k]], texts[second[k]]) in pairs:
-                        kind[k] = BY_THIRD
-                # a heavy word has routes of its own
-                usual = row["route"] + ROUTES * (sums[first] // ROUTES % max(1, shares))
-                by = sums[second] + np.where(kind == BY_THIRD, 7 * sums[third], 0)
-                to = np.where(several > 0, sums[first] * 1_000 + by % np.maximum(several, 1), usual)
-                order = np.lexsort((to, kind))
-                cuts = _runs(np.stack([kind[order], to[order]]), ROW)
-                following = _packed([texts[k[order]] for k in keys], weight[order], cuts)
-                n = np.diff(np.append(cuts, len(order)))
-                out += [(lang, int(kind[order[c]]), int(to[order[c]]), int(m), t) for c, m, t in zip(cuts, n, following, strict=True)]
-            yield pa.RecordBatch.from_pylist([dict(zip(ROUTED.names, o, strict=True)) for o in out], ROUTED)
+            held.append(batch)
+            n += pc.sum(batch.column("n_rows")).as_py()
+            if n >= size:
+                yield dealt(pa.Table.from_batches(held))
+                held, n = [], 0
+        if held:
+            yield dealt(pa.Table.from_batches(held))
 
     if shares > 1:
         return rows.mapInArrow(split, from_arrow_schema(ROUTED))
@@ -345,46 +406,75 @@ def counted(routed_rows: DataFrame, least: int = LEAST, size: int = BLOCK // 6)
     """``lang, phrase, count`` of phrases of one to three words; parts of a count may come from several blocks."""
     # least weights of a part with 0, 1, 2, 3 equal words: where a route has all of them, lighter ones are abandoned
     bounds = {
-        BY_FIRST: (1, least, least, least), BY_SECOND: (1, 1, least, least), BY_THIRD: (1, 1, 1, least), None: (1, 1, 1, 1)}
+        BY_FIRST: (1, least, least, least), BY_SECOND: (1, 1, least, least), BY_THIRD: (1, 1, 1, least), LONGEST: (1, 1, 1, 1)}
 
-    def count(rows: pa.Table, continued: bool) -> pa.RecordBatch:
-        lang, kind, sizes = (rows.column(c).to_numpy() for c in ("lang", "kind", "n_rows"))
-        keys, weight, words = _unpacked(rows.column("following").combine_chunks())
-        rows_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        parts = multikey_quicksort(
-            [k.take for k in keys], np.arange(len(weight)), np.add.reduceat(sizes, np.flatnonzero(_borders(rows))), weight,
-            bounds[None if continued else kind[0]])
+    def told(rows: pa.Table, parts: Parts, keys: list[np.ndarray], words: np.ndarray, row_of: np.ndarray) -> pa.RecordBatch:
         numbers = np.stack([k[parts.pointer] for k in keys], axis=1)
         real = numbers[np.arange(len(numbers)), parts.depth - 1] != ENDED
         names = words[numbers[real]].tolist()
         return pa.RecordBatch.from_arrays([
-            pa.array(lang[rows_of[parts.pointer[real]]], pa.string()),
+            rows.column("lang").combine_chunks().take(pa.array(row_of[parts.pointer[real]])),
             pa.array([b" ".join(n[:d]) for n, d in zip(names, parts.depth[real].tolist(), strict=True)], pa.binary()),
             pa.array(parts.weight[real])], schema=COUNTED)
 
+    def count(rows: pa.Table) -> pa.RecordBatch:
+        """Rows of one kind, of whole routes."""
+        sizes = rows.column("n_rows").to_numpy()
+        keys, weight, words = _unpacked(rows.column("following").combine_chunks())
+        parts = multikey_quicksort(
+            [k.take for k in keys], np.arange(len(weight)), np.add.reduceat(sizes, np.flatnonzero(_borders(rows))), weight,
+            bounds[rows.column("kind")[0].as_py()])
+        return told(rows, parts, keys, words, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes))
+
+    def count_long(rows: pa.Table, whole: bool) -> Iterator[pa.RecordBatch]:
+        """Rows of one route, in parts of ``size``; only of a ``whole`` route light parts are abandoned."""
+        kind = rows.column("kind")[0].as_py()
+        most = rows.num_rows * size // pc.sum(rows.column("n_rows")).as_py()
+        keys, weight, words = _unpacked(rows.column("following").combine_chunks(), max(1, most))
+        row_of = np.zeros(len(weight), dtype=np.int32)
+        for pointers, alike in _by_words(keys, np.arange(len(weight)), size):
+            parts = multikey_quicksort(
+                [k.take for k in keys], pointers, np.array([len(pointers)]), weight[pointers],
+                bounds[max(kind, alike) if whole else LONGEST])
+            yield told(rows, parts, keys, words, row_of)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n, cut = 0, None  # the route that the block before was cut in
+        n, cut = 0, None  # the route that was cut
         for batch in small(batches):
             held.append(batch)
             n += pc.sum(batch.column("n_rows")).as_py()
             if n < size:
                 continue
-            rows = pa.Table.from_batches(held)
-            # up to the last route that begins here; a route that fills two blocks is cut
-            last = int(np.flatnonzero(_borders(rows))[-1])
-            end = last if last else rows.num_rows if n >= 2 * size else 0
-            if not end:
+            one = _route(held[0], 0) == _route(batch, -1)  # all rows are of one route, as rows come sorted
+            if one and n < HELD * size:
                 continue
-            for part in _by_kind(rows.slice(0, end)):
-                yield count(part, _route(part, 0) == cut or not last)
-            cut = None if last else _route(rows, 0)
+            rows = pa.Table.from_batches(held)
+            # up to the last route that begins here; a longer one is cut
+            end = rows.num_rows if one else int(np.flatnonzero(_borders(rows))[-1])
+            yield from several(rows.slice(0, end), None if one else cut, not one)
+            cut = _route(rows, 0) if one else None
             held = rows.slice(end).to_batches()
             n = sum(pc.sum(b.column("n_rows")).as_py() for b in held)
             trim()
         if n:
-            for part in _by_kind(pa.Table.from_batches(held)):
-                yield count(part, _route(part, 0) == cut)
+            yield from several(pa.Table.from_batches(held), cut, True)
+
+    def several(rows: pa.Table, cut: tuple | None, whole: bool) -> Iterator[pa.RecordBatch]:
+        """Routes one after the other; of the route ``cut``, rows were counted before, and unless ``whole`` more follow."""
+        starts = np.flatnonzero(_borders(rows))
+        sizes = np.add.reduceat(rows.column("n_rows").to_numpy(), starts)
+        ends = np.append(starts[1:], rows.num_rows)
+        lone = sizes > size
+        lone[0] |= not whole or _route(rows, 0) == cut
+        # stretches of short routes, and long ones alone
+        for k in _runs(np.stack([np.cumsum(lone), lone])):
+            if lone[k]:
+                yield from count_long(rows.slice(starts[k], ends[k] - starts[k]), whole and not (k == 0 and _route(rows, 0) == cut))
+            else:
+                last = k + int(np.argmax(np.append(lone[k:], True))) - 1
+                for part in _by_kind(rows.slice(starts[k], ends[last] - starts[k])):
+                    yield count(part)
 
     rows = routed_rows.repartition("lang", "kind", "route")
     # by kind and route, as one number, which is sorted faster than texts
@@ -392,8 +482,31 @@ def counted(routed_rows: DataFrame, least: int = LEAST, size: int = BLOCK // 6)
     return rows.sortWithinPartitions(place, "kind", "lang", "route").mapInArrow(run, from_arrow_schema(COUNTED))
 
 
-def _route(rows: pa.Table, at: int) -> tuple:
-    return tuple(rows.column(c)[at].as_py() for c in ("lang", "kind", "route"))
+def _by_words(keys: list[np.ndarray], pointers: np.ndarray, size: int, alike: int = 0) -> Iterator[tuple[np.ndarray, int]]:
+    """Pointers in parts of at most ``size`` that end between words, and the number of leading words that a part shares
+    with others; only suffixes that are equal from the first word to the last may be more."""
+    if len(pointers) <= size or alike == len(keys):
+        yield pointers, alike
+        return
+    key = keys[alike][pointers]
+    order = np.argsort(key, kind="stable")
+    starts = _runs(key[None, order])
+    sizes = np.diff(np.append(starts, len(order)))
+    pointers = pointers[order]
+    at = k = 0
+    while k < len(starts):
+        # as many words as fit, or a longer one
+        end = max(k + 1, int(np.searchsorted(starts + sizes, starts[k] + size, side="right")))
+        part = pointers[starts[k] : starts[end - 1] + sizes[end - 1]]
+        if len(part) > size:
+            yield from _by_words(keys, part, size, alike + 1)
+        else:
+            yield part, alike
+        k = end
+
+
+def _route(rows: pa.Table | pa.RecordBatch, at: int) -> tuple:
+    return tuple(rows.column(rows.schema.get_field_index(c))[at].as_py() for c in ("lang", "kind", "route"))
 
 
 def _borders(rows: pa.Table) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Collocations, periodic runs and trie encoding: against brute force and the tokenizer library, and on odd rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import sys
@@ -9,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -83,6 +85,52 @@ def test_collocations_odd_rows(spark, odd_docs, no_docs):
     assert col.collocations(no_docs).count() == 0
 
 
+def test_long_routes_are_not_written_anew(spark, monkeypatch):
+    monkeypatch.setattr(col, "ROUTES", 3)
+    rng = random.Random(7)
+    rows = [("en", " ".join(f"w{int(rng.paretovariate(0.6)) % 90}" for _ in range(120))) for _ in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    suffixes = col.staged(col.sorted_suffixes(docs, 1200), "suffixes")
+    # routes of some seven blocks, in none of which a word has as many suffixes as a route may hold
+    blocks = col.routed(suffixes, 100_000, 200)
+    assert blocks.count() == suffixes.where("following is not null").count()
+    found = [(r.phrase.decode(), r["count"]) for r in col.counted(blocks, 10, 200).collect()]
+    words = [w for _, t in rows for w in [t.split()]]
+    phrases = Counter(" ".join(w[i : i + n]) for w in words for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    total = Counter()
+    for p, n in found:
+        total[p] += n
+    assert {p: n for p, n in total.items() if n >= 10} == {p: n for p, n in phrases.items() if n >= 10}
+    # parts of a beginning that stands in one part of a route are abandoned if light
+    assert sum(n < 10 for _, n in found) < 0.05 * len(phrases)
+
+
+def test_parts_end_between_words():
+    rng = np.random.default_rng(3)
+    keys = [np.minimum(rng.geometric(0.4, 2000), 6) - 2 for _ in range(3)]
+    pointers = np.arange(100, 2000)
+    parts = list(col._by_words(keys, pointers, 50))
+    assert sorted(np.concatenate([p for p, _ in parts])) == pointers.tolist()
+    words = np.stack(keys)
+    for n in range(3):
+        # a beginning of more words than its part shares with others stands in no other part
+        seen = Counter(b for p, alike in parts if alike <= n for b in {tuple(x) for x in words[: n + 1, p].T.tolist()})
+        assert not seen or max(seen.values()) == 1
+    assert all(len(p) <= 50 or alike == 3 for p, alike in parts)
+
+
+def test_heavy_beginnings():
+    pairs = [("en", b"a", b"b"), ("de", b"a", b"c"), ("en", b"c", b"a"), ("fr", b"a", b"b"), ("en", b"x", b"b")]
+    langs, words = pa.array(["de", "en"]), pa.array([b"a", b"b", b"c"])
+    codes = [np.array(c) for c in zip(*itertools.product((0, 1), (0, 1, 2), (-1, 0, 1, 2)), strict=True)]
+    for n in (2, 3):
+        listed = {p[:n]: k + 1 for k, p in enumerate(pairs)}
+        heavy = col.Heavy(list(listed), list(listed.values()))
+        spelled = [(langs[a].as_py(), words[b].as_py(), words[c].as_py() if c >= 0 else None) for a, b, c in zip(*codes, strict=True)]
+        assert heavy.of(langs, words, codes[:n]).tolist() == [listed.get(s[:n], 0) for s in spelled]
+    assert not col.Heavy([], []).of(langs, words, codes).any()
+
+
 def test_quicksort_sizes():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 4, (3, 500))
