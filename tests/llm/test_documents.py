@@ -158,6 +158,24 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, region_docs, rule):
     assert sorted([tuple(r) for r in got], key=repr) == brute_components(rows, rule)
 
 
+def test_large_groups_lose_no_copies_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK", 12)
+    rng, rule = random.Random(17), Rule()
+    base = [f"w{rng.randrange(900)}" for _ in range(90)]
+    rows = [(k, " ".join(edited(rng, base, rng.randrange(5)))) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = jaccard_join.jaccard_classes(docs, rule=rule, region_docs=20).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted([tuple(r) for r in got], key=repr) == brute_components(rows, rule)
+
+
 def test_region_join_alone(spark):
     rng = random.Random(9)
     rule = Rule()
